@@ -21,7 +21,7 @@ def norm_key(c: Column | str) -> Column:
 def to_long(c: Column | str) -> Column:
     """Whole number from text that may carry decimals; null when it is not a number."""
     number = as_col(c).cast("string").try_cast("double")
-    return F.when(~F.isnan(number), F.floor(number)).try_cast("bigint")
+    return F.when(~F.isnan(number), number).try_cast("bigint")
 
 
 def to_double(c: Column | str) -> Column:
