@@ -112,7 +112,7 @@ def audit(rows: DataFrame, text: str, trusted: str, params: SummaryParams) -> Da
 
 
 def audit_against_table(texts: DataFrame, text: str, trusted: DataFrame, key: str,
-                        params: SummaryParams) -> DataFrame:
+                        text_id: str, params: SummaryParams) -> DataFrame:
     """The same check with the trusted values in a table (key, value), for long value lists.
 
     Values are folded to the minimum and maximum of narrow logarithmic cells, and a claim looks
@@ -122,7 +122,7 @@ def audit_against_table(texts: DataFrame, text: str, trusted: DataFrame, key: st
     """
     tolerance = params.claim_tolerance
     claims = texts.select(
-        key, F.posexplode(T.extract_claims(text)).alias("position", "claim")
+        key, text_id, F.posexplode(T.extract_claims(text)).alias("position", "claim")
     ).withColumn("number", T.claim_number(F.col("claim")))
 
     def cell(x: Column) -> Column:
@@ -147,7 +147,7 @@ def audit_against_table(texts: DataFrame, text: str, trusted: DataFrame, key: st
         .agg(F.max(near(F.col("low")) | near(F.col("high"))).alias("is_verified"))
     )
     return claims.join(matched, [key, "number"], "left").select(
-        key, "position", "claim", F.coalesce("is_verified", F.lit(False)).alias("is_verified"))
+        key, text_id, "position", "claim", F.coalesce("is_verified", F.lit(False)).alias("is_verified"))
 
 
 def run_confidence(findings: DataFrame, keys: Sequence[str], params: RootCauseParams) -> DataFrame:

@@ -100,14 +100,14 @@ def heat_map(alerts: DataFrame, lines: Sequence[str], statuses: Sequence[str] =
     if statuses:
         alerts = alerts.filter(F.col("alert_status").isin(*statuses))
     return alerts.groupBy("supplier_id").pivot("line_id", list(lines)).agg(
-        F.round(F.avg("observed_defect_rate"), 6)
+        F.round(F.avg("observed_defect_rate"), 12)
     )
 
 
 def heat_cells(alerts: DataFrame, baseline: DataFrame) -> DataFrame:
     """The same map in long form with scores and the baseline reference line."""
     cells = alerts.groupBy("supplier_id", "line_id").agg(
-        F.round(F.avg("observed_defect_rate"), 6).alias("observed_defect_rate"),
+        F.round(F.avg("observed_defect_rate"), 12).alias("observed_defect_rate"),
         F.round(F.max("anomaly_score"), 4).alias("max_anomaly_score"),
         F.count(F.lit(1)).alias("batches"),
     )

@@ -64,7 +64,7 @@ def assess(raw: DataFrame, feed: LandingFeed, params: RunParams) -> DataFrame:
     }).drop("file_quarantined")
 
 
-def ingest(raw: DataFrame, feed: LandingFeed, root: str, run_id: str, at: Column,
+def ingest(raw: DataFrame, feed: LandingFeed, root: str, run_id: str, at: Column | str,
            params: RunParams) -> None:
     """Write good rows, rejected rows and the file log of one feed."""
     rows = assess(raw, feed, params)
@@ -106,7 +106,7 @@ class Gold:
 
 def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame, risk: DataFrame,
                lot_meta: DataFrame, sales: DataFrame, stage_costs: DataFrame, run_id: str,
-               at: Column, params: RunParams, with_outliers: bool = True) -> Gold:
+               at: Column | str, params: RunParams, with_outliers: bool = True) -> Gold:
     """All result tables of a run from the silver tables.
 
     The batch aggregate and the alerts feed several tables each, so both are checkpointed.
@@ -148,7 +148,7 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
     )
 
 
-def write_gold(gold: Gold, root: str, run_id: str, at: Column) -> None:
+def write_gold(gold: Gold, root: str, run_id: str, at: Column | str) -> None:
     """Store a run; repeating it leaves identical tables."""
     for name, df in gold.tables().items():
         lean = df.drop("run_id") if "run_id" in df.columns else df

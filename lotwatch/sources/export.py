@@ -24,12 +24,12 @@ def export_csv(df: DataFrame, path: str, order: list[Column | str] | None = None
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_all(tables: dict[str, DataFrame], folder: str, run_id: str, at: Column,
+def export_all(tables: dict[str, DataFrame], folder: str, run_id: str, at: Column | str,
                spark: SparkSession) -> None:
     for name, df in tables.items():
         export_csv(df, f"{folder}/{name}")
     refresh = spark.range(1).select(
-        at.cast("timestamp").alias("last_export"), F.lit(run_id).alias("run_id")
+        F.lit(at).cast("timestamp").alias("last_export"), F.lit(run_id).alias("run_id")
     )
     refresh.coalesce(1).write.mode("overwrite").json(f"{folder}/_refresh")
 

@@ -12,11 +12,11 @@ from lotwatch.functions.ranking import latest_per_key
 from lotwatch.schemas import GOLD, SILVER
 
 
-def with_lineage(df: DataFrame, run_id: str, at: Column, time_column: str) -> DataFrame:
-    return df.withColumn(time_column, at.cast("timestamp")).withColumn("run_id", F.lit(run_id))
+def with_lineage(df: DataFrame, run_id: str, at: Column | str, time_column: str) -> DataFrame:
+    return df.withColumn(time_column, F.lit(at).cast("timestamp")).withColumn("run_id", F.lit(run_id))
 
 
-def write_run(df: DataFrame, path: str, run_id: str, at: Column,
+def write_run(df: DataFrame, path: str, run_id: str, at: Column | str,
               time_column: str = "created_at", mode: str = "append") -> None:
     """Write one run's rows.
 
@@ -45,19 +45,19 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def quarantine(bad: DataFrame, reason: str = "error_reason", source: str = "source_path",
-               run_id: str = "", at: Column | None = None) -> DataFrame:
+               run_id: str = "", at: Column | str | None = None) -> DataFrame:
     """Bad rows of any table in one schema: the row itself as JSON, with reason and origin."""
     payload = [c for c in bad.columns if c not in (reason, source)]
     return bad.select(
         F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}).alias("payload"),
         F.col(reason).alias("error_reason"),
         F.col(source).alias("source_file"),
-        (at if at is not None else F.current_timestamp()).cast("timestamp").alias("quarantined_at"),
+        F.lit(at).cast("timestamp").alias("quarantined_at"),
         F.lit(run_id).alias("run_id"),
     )
 
 
-def ingest_log(rows: DataFrame, table: Column | str, run_id: str, at: Column,
+def ingest_log(rows: DataFrame, table: Column | str, run_id: str, at: Column | str,
                source: str = "source_path", bad: str = "is_bad") -> DataFrame:
     """One row per file with the written and quarantined counts."""
     table = F.lit(table) if isinstance(table, str) else table
@@ -68,18 +68,18 @@ def ingest_log(rows: DataFrame, table: Column | str, run_id: str, at: Column,
         "source_path", table.alias("table_name"), "rows_written", "rows_quarantined",
         F.lit(run_id).alias("run_id"),
         F.when(F.col("rows_written") == 0, "QUARANTINED").otherwise("OK").alias("status"),
-        at.cast("timestamp").alias("ingested_at"),
+        F.lit(at).cast("timestamp").alias("ingested_at"),
     )
 
 
-def run_log(runs: DataFrame, stages: Sequence[str], at: Column) -> DataFrame:
+def run_log(runs: DataFrame, stages: Sequence[str], at: Column | str) -> DataFrame:
     """Run-log rows from per-run summaries (run_id, escalations, duration_seconds, notes)."""
     return runs.select(
-        "run_id", at.cast("timestamp").alias("run_timestamp"),
+        "run_id", F.lit(at).cast("timestamp").alias("run_timestamp"),
         F.array(*[F.lit(s) for s in stages]).alias("stages"),
         F.col("escalations").cast("bigint").alias("escalations"),
         F.col("duration_seconds").cast("double").alias("duration_seconds"),
-        "notes", at.cast("timestamp").alias("created_at"),
+        "notes", F.lit(at).cast("timestamp").alias("created_at"),
     )
 
 
@@ -92,10 +92,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     ])
 
 
-def create_tables(spark: SparkSession, database: str, tables: dict[str, StructType]) -> None:
+def create_tables(spark: SparkSession, database: str, tables: dict[str, str]) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, schema in tables.items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    for name, columns in tables.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING PARQUET")
 
 

@@ -23,7 +23,7 @@ def landing_stream(spark: SparkSession, folder: str, columns: Sequence[str],
     return with_source(reader.csv(folder))
 
 
-def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: Column,
+def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: Column | str,
            available_now: bool = True, interval: str = "15 minutes") -> StreamingQuery:
     """Ingest each landing file exactly once.
 
