@@ -17,7 +17,8 @@ from lotwatch.streaming import live
 
 def _stream(spark, sf, name):
     schema = D.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet")
+    # A glob, since the file source takes a plain path for a folder.
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet*")
 
 
 def _events(spark, sf):
