@@ -9,28 +9,20 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per key, the greatest by ``order``.
+    """One row per key, the greatest by ``order``; the other columns settle what is left equal.
 
-    A max_by aggregate combines on the map side, so a key repeated across the whole input
+    The maximum of a struct combines on the map side, so a key repeated across the whole input
     reaches the shuffle as one row per task (a row_number window would move every copy).
     """
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    picked = F.max_by(F.struct(*rest), ordering).alias("_row")
+    named = [o for o in order if isinstance(o, str)]
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    ordering = [
+        F.col(o) if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)
+    ]
+    picked = F.max(F.struct(*ordering, *rest)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
-def first_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
-    """Rows whose ``order`` value is among the first ``n`` distinct ones of the group.
-
-    Only the distinct (group, value) pairs are ranked; the rows come back by a join.
-    """
-    pairs = df.select(*keys, order).distinct()
-    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(order))
-    keep = pairs.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-    return df.join(keep, [*keys, order], "left_semi")
-
-
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     names: Sequence[str], splits: int = 64) -> DataFrame:
     """Exact interpolated quantiles per group without sorting a whole group in one task.
@@ -39,7 +31,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     interval holding each wanted rank, and only those intervals are ordered, over values
     already reduced to distinct ones with counts.
     """
-    keys = list(keys)
+    keys, shown = list(keys), list(keys)
+    if not keys:
+        # One group over everything still joins on a key, never as a product.
+        df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     data = df.select(*keys, value).filter(F.col(value).isNotNull())
     grid = F.array(*[F.lit(i / splits) for i in range(1, splits)])
     shape = data.groupBy(*keys).agg(
@@ -90,4 +85,5 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         weight = F.max(pos - F.floor(pos))
         return at(low) + (at(high) - at(low)) * weight
 
-    return ranked.groupBy(*keys).agg(*[quantile(p).alias(n) for p, n in zip(probs, names)])
+    result = ranked.groupBy(*keys).agg(*[quantile(p).alias(n) for p, n in zip(probs, names)])
+    return result.select(*shown, *names)

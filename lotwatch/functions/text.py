@@ -36,14 +36,16 @@ def claim_holds(claim: Column, trusted: Column, tolerance: float) -> Column:
     return F.coalesce(F.when(number.isNotNull(), near).otherwise(exact), F.lit(False))
 
 
-def verified_claims(claims: Column | str, trusted: Column | str, tolerance: float) -> Column:
+def judged_claims(claims: Column | str, trusted: Column | str, tolerance: float) -> Column:
+    """Every claim with its verdict, in text order."""
     trusted = as_col(trusted)
-    return F.filter(as_col(claims), lambda c: claim_holds(c, trusted, tolerance))
+    return F.transform(as_col(claims), lambda c: F.struct(
+        c.alias("claim"), claim_holds(c, trusted, tolerance).alias("holds")))
 
 
-def unverified_claims(claims: Column | str, trusted: Column | str, tolerance: float) -> Column:
-    trusted = as_col(trusted)
-    return F.filter(as_col(claims), lambda c: ~claim_holds(c, trusted, tolerance))
+def claims_where(judged: Column | str, holds: bool) -> Column:
+    kept = F.filter(as_col(judged), lambda j: j["holds"] if holds else ~j["holds"])
+    return F.transform(kept, lambda j: j["claim"])
 
 
 def annotate(text: Column | str, unverified: Column | str) -> Column:

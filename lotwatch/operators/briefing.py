@@ -99,12 +99,12 @@ def note_unverified(text: Column, unverified: Column) -> Column:
 
 def audit(rows: DataFrame, text: str, trusted: str, params: SummaryParams) -> DataFrame:
     """Check every numeric claim of a text against the trusted values on its row."""
-    tolerance = params.claim_tolerance
-    claimed = rows.withColumn("claims", T.extract_claims(text))
-    checked = claimed.withColumns({
-        "verified_claims": T.verified_claims("claims", trusted, tolerance),
-        "unverified_claims": T.unverified_claims("claims", trusted, tolerance),
-    })
+    claims = T.extract_claims(text)
+    judged = rows.withColumn("_judged", T.judged_claims(claims, trusted, params.claim_tolerance))
+    checked = judged.withColumns({
+        "verified_claims": T.claims_where("_judged", True),
+        "unverified_claims": T.claims_where("_judged", False),
+    }).drop("_judged")
     return checked.withColumns({
         "all_claims_verified": F.size("unverified_claims") == 0,
         "revised_text": T.annotate(text, "unverified_claims"),

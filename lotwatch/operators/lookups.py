@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwatch.functions.ranking import first_n_per_group
 from lotwatch.operators.reports import latest_run_only
 from lotwatch.operators.scenarios import final_savings
 from lotwatch.operators.trends import first_crossing
@@ -63,9 +62,13 @@ def lot_traceability(lots: DataFrame, lot_id: str | None = None, supplier_id: st
 
 def weekly_trend(trend: DataFrame, supplier_ids: Sequence[str] | None = None,
                  weeks: int = 24) -> DataFrame:
-    """The first ``weeks`` recorded weeks of each supplier, so no week is cut in half."""
+    """The first ``weeks`` recorded weeks of each supplier, so no week is cut in half.
+
+    The trend holds one row per supplier and week, so a window group is bounded by the calendar.
+    """
     rows = trend.filter(F.col("supplier_id").isin(*supplier_ids)) if supplier_ids else trend
-    return first_n_per_group(rows, ["supplier_id"], "production_week", weeks)
+    week = F.dense_rank().over(Window.partitionBy("supplier_id").orderBy("production_week"))
+    return rows.withColumn("_week", week).filter(F.col("_week") <= weeks).drop("_week")
 
 
 def first_alert_week(trend: DataFrame, threshold: float,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwatch.functions.scalars import to_bool, to_double, to_long
 from lotwatch.params import Domains, IngestParams
 from lotwatch.schemas import LandingFeed
+from lotwatch.session import staged
 
 Rules = dict[str, Column]
 
@@ -134,19 +135,21 @@ def existing_keys(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 def duplicate_report(df: DataFrame, existing: DataFrame, key: str,
                      preview: int = IngestParams.preview_ids) -> DataFrame:
-    """Row and duplicate counts with the first ``preview`` duplicate ids in key order."""
-    duplicates = existing_keys(df.select(key), existing, key)
-    none = F.array().cast("array<string>")
-    first_ids = duplicates.orderBy(key).limit(preview)
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("total_rows")).select(
-            "total_rows", F.lit(0).cast("bigint").alias("duplicate_count"), none.alias("ids")),
-        duplicates.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(0).cast("bigint"), "n", none),
-        first_ids.agg(F.array_sort(F.collect_list(key))).select(
-            F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.col("*")),
-    ]
-    return parts[0].union(parts[1]).union(parts[2]).agg(
+    """Row and duplicate counts with the first ``preview`` duplicate ids in key order.
+
+    Rows are counted per key before the join, so a key held by most rows meets the stored
+    keys once. The preview repeats an id as often as it occurs.
+    """
+    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    duplicates = existing_keys(copies, existing, key)
+    nothing, zero = F.array().cast("array<string>"), F.lit(0).cast("bigint")
+    repeated = F.array_repeat(F.col(key).cast("string"), F.least("n", F.lit(preview)).cast("int"))
+    first_ids = duplicates.orderBy(key).limit(preview).select(repeated.alias("ids"))
+    counts = df.agg(F.count(F.lit(1)).alias("total_rows")).select(
+        "total_rows", zero.alias("duplicate_count"), nothing.alias("ids"))
+    found = duplicates.agg(F.coalesce(F.sum("n"), zero).alias("n")).select(zero, "n", nothing)
+    sample = first_ids.agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, preview))
+    return counts.union(found).union(sample.select(zero, zero, F.col("*"))).agg(
         F.sum("total_rows").alias("total_rows"),
         F.sum("duplicate_count").alias("duplicate_count"),
         F.flatten(F.collect_list("ids")).alias("duplicate_ids"),
@@ -161,8 +164,13 @@ def file_failure_rates(df: DataFrame, invalid: Column, source: str = "source_pat
 
 def gate_files(df: DataFrame, invalid: Column, params: IngestParams,
                source: str = "source_path") -> DataFrame:
-    """Mark the rows of files whose share of invalid rows exceeds the limit."""
-    rates = file_failure_rates(df, invalid, source).select(
-        source, (F.col("failure_rate") > params.file_failure_rate).alias("file_quarantined")
-    )
-    return df.join(rates, source)
+    """Mark the rows of files whose share of invalid rows exceeds the limit.
+
+    The failing files are staged as a list first: as a rule it is short and gets broadcast, so
+    the rows themselves are not shuffled; a list beyond the broadcast limit is merge-joined.
+    """
+    failing = file_failure_rates(df, invalid, source).filter(
+        F.col("failure_rate") > params.file_failure_rate
+    ).select(source, F.lit(True).alias("file_quarantined"))
+    marked = df.join(staged(failing, "failing-files"), source, "left")
+    return marked.withColumn("file_quarantined", F.coalesce("file_quarantined", F.lit(False)))

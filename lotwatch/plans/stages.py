@@ -18,7 +18,7 @@ from lotwatch.params import (
     SummaryParams,
 )
 from lotwatch.schemas import LandingFeed
-from lotwatch.session import materialize
+from lotwatch.session import staged
 from lotwatch.sources.landing import strip_labels
 from lotwatch.sources.tables import ingest_log, write_run
 
@@ -54,8 +54,8 @@ def assess(raw: DataFrame, feed: LandingFeed, params: RunParams) -> DataFrame:
     broken = V.failed_rules(rules)
     reason = F.coalesce("_type_error", F.when(F.size(broken) > 0, F.array_join(broken, ", ")))
     checked = typed.withColumn("error_reason", reason).drop("_type_error")
-    checked = materialize(checked.withColumn(
-        "_payload", F.when(F.col("error_reason").isNotNull(), F.col("_payload"))))
+    checked = staged(checked.withColumn(
+        "_payload", F.when(F.col("error_reason").isNotNull(), F.col("_payload"))), "assessed")
     gated = V.gate_files(checked, F.col("error_reason").isNotNull(), params.ingest)
     held = F.when(F.col("file_quarantined"), F.lit("File held back: too many invalid rows"))
     return gated.withColumns({
@@ -109,20 +109,20 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
                at: Column | str, params: RunParams, with_outliers: bool = True) -> Gold:
     """All result tables of a run from the silver tables.
 
-    The batch aggregate and the alerts feed several tables each, so both are checkpointed.
+    The batch aggregate and the alerts feed several tables each, so both are staged.
     """
-    batches = materialize(detection.with_batch_metadata(
-        detection.batch_quality(inspections, params.detection), dim_batch))
+    batches = staged(detection.with_batch_metadata(
+        detection.batch_quality(inspections, params.detection), dim_batch), "batch-quality")
     flags = outliers.flag_outliers(batches, params.detection) if with_outliers else None
-    alerts = materialize(detection.alerts(
-        batches, detection.baselines(history), risk, params.detection, flags))
+    baseline = staged(detection.baselines(history), "baselines")
+    alerts = staged(detection.alerts(batches, baseline, risk, params.detection, flags), "alerts")
     rates = trends.lot_rates(batches, params.detection.rate_threshold)
     flagged = alerts.filter(F.col("alert_status") == "FLAGGED")
     bundle = rootcause.evidence(
         flagged, rootcause.supplier_trend(history, params.rootcause),
         detection.lot_sizes(dim_batch), trends.production_conditions(dim_batch, inspections),
         rates, params.rootcause)
-    findings = materialize(rootcause.findings(bundle, params.rootcause))
+    findings = staged(rootcause.findings(bundle, params.rootcause), "findings")
     run = F.lit(run_id).alias("run_id")
     scope = briefing.defect_scope(alerts).select(run, "*")
     profile = scope.select("run_id", F.col("total_units_flagged").alias("total_units")).join(

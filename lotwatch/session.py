@@ -52,6 +52,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    The table is computed once for all its consumers and survives lost executors, and the
+    optimizer sees its true size: it is broadcast only below the session's
+    spark.sql.autoBroadcastJoinThreshold and sort-merged (with skew splitting) above it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _TABLES: dict[tuple[str, str, str], str] = {}
 
 

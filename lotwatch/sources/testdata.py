@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lotwatch.operators import detection, reports, rootcause, trends
 from lotwatch.params import DetectionParams, RiskParams, RootCauseParams
-from lotwatch.session import stored
+from lotwatch.session import staged, stored
 
 CUTOVER = "1998-01-01"
 LINES = tuple(f"L{i}" for i in range(1, 8))
@@ -64,7 +64,7 @@ def inspections(spark: SparkSession, sf_dir: str, since: str | None = None,
 
 
 def as_inspections(lines: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
-    month = F.date_format("l_shipdate", "yyyyMM")
+    month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
     return lines.select(
         _joined("I", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("inspection_id"),
         _joined("B", "l_suppkey", "l_linenumber", "l_orderkey", month).alias("batch_id"),
@@ -86,9 +86,8 @@ def watched(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFr
 
 def dim_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches under watch with units, lot and first production date."""
-    return watched(spark, sf_dir).groupBy("batch_id").agg(
-        F.min("supplier_id").alias("supplier_id"), F.min("line_id").alias("line_id"),
-        F.min("material_lot").alias("material_lot"), F.sum("units_inspected").alias("unit_count"),
+    return watched(spark, sf_dir).groupBy("batch_id", "supplier_id", "line_id", "material_lot").agg(
+        F.sum("units_inspected").alias("unit_count"),
         F.min("inspection_date").alias("production_date"),
     )
 
@@ -183,8 +182,7 @@ def lot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours to alert run from its first inspection to its first failed one."""
     fail = F.col("pass_fail") == "FAIL"
     first_fail = F.min(F.when(fail, F.col("inspection_date")))
-    return watched(spark, sf_dir).groupBy(F.col("material_lot").alias("lot_id")).agg(
-        F.min("supplier_id").alias("supplier_id"),
+    return watched(spark, sf_dir).groupBy(F.col("material_lot").alias("lot_id"), "supplier_id").agg(
         F.lit("bonded_seam_tape").alias("material_type"),
         F.min("inspection_date").cast("timestamp").alias("entered_production_date"),
         (F.count_if(fail) / F.count(F.lit(1)) > 0.4).alias("is_defective"),
@@ -196,13 +194,16 @@ def lot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_quality(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFrame:
     """Batch aggregate with the metadata carried along: one scan, one shuffle."""
     return detection.batch_quality(watched(spark, sf_dir, with_type), PARAMS, carry={
-        "unit_count": F.sum("units_inspected"), "material_lot": F.min("material_lot"),
-        "production_date": F.min("inspection_date")})
+        "unit_count": F.sum("units_inspected"), "production_date": F.min("inspection_date"),
+    }, extra_keys=["material_lot"], type_domain=list(DEFECT_TYPES.values()))
 
 
 def compute_alerts(spark: SparkSession, sf_dir: str, with_type: bool = True) -> DataFrame:
+    """Alerts from the raw lines. The batch aggregate feeds both the scores and the lot
+    averages, so it is staged; the baselines are staged to be joined by their true size."""
     return detection.alerts(
-        batch_quality(spark, sf_dir, with_type), detection.baselines(history(spark, sf_dir)),
+        staged(batch_quality(spark, sf_dir, with_type), "batch_quality"),
+        staged(detection.baselines(history(spark, sf_dir)), "baselines"),
         risk_scores(spark, sf_dir), PARAMS)
 
 
