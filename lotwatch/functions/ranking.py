@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwatch.session import staged
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the greatest by ``order``; the other columns settle what is left equal.
@@ -24,66 +26,55 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    names: Sequence[str], splits: int = 64) -> DataFrame:
-    """Exact interpolated quantiles per group without sorting a whole group in one task.
+                    names: Sequence[str], mean: str | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group, and the mean on request.
 
-    A bounded sketch yields ``splits`` cut values per group. Counts per cut interval give the
-    interval holding each wanted rank, and only those intervals are ordered, over values
-    already reduced to distinct ones with counts.
+    A sketch of known rank error brackets each quantile. The second pass counts the values
+    below each bracket and keeps the distinct values inside it, a few thousandths of a group,
+    so no group is ever sorted as a whole. The brackets are staged: for as many groups as fit
+    under the broadcast limit the rows are not shuffled before they are counted.
     """
-    keys, shown = list(keys), list(keys)
+    shown, keys = list(keys), list(keys)
     if not keys:
         # One group over everything still joins on a key, never as a product.
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
-    data = df.select(*keys, value).filter(F.col(value).isNotNull())
-    grid = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    shape = data.groupBy(*keys).agg(
-        F.percentile_approx(value, grid, 10_000).alias("_cuts"), F.count(value).alias("_n")
-    )
-    counts = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    v = F.col(value)
-    placed = counts.join(shape, keys).withColumn(
-        "_slot", F.size(F.filter("_cuts", lambda cut: cut < v))
-    ).drop("_cuts")
+    data = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    accuracy = 10_000
+    margin = 2.0 / accuracy
+    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
+    brackets = staged(data.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), accuracy).alias("_ends"),
+        F.count("_v").alias("_n"), F.avg("_v").alias("_mean"),
+    ), "brackets")
 
-    ordered_slots = Window.partitionBy(*keys).orderBy("_slot")
-    slots = (
-        placed.groupBy(*keys, "_slot")
-        .agg(F.sum("_c").alias("_in_slot"), F.max("_n").alias("_n"))
-        .withColumn("_before", F.sum("_in_slot").over(ordered_slots) - F.col("_in_slot"))
-    )
-    position = {p: (F.col("_n") - 1) * F.lit(float(p)) for p in probs}
-    wanted = F.array_distinct(
-        F.array(*[f(position[p]).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
-    )
-    ends_after = F.col("_before") + F.col("_in_slot")
-    targets = slots.withColumn(
-        "_ranks",
-        F.filter(wanted, lambda r: (r >= F.col("_before")) & (r < ends_after)),
-    ).filter(F.size("_ranks") > 0)
-
-    within = Window.partitionBy(*keys, "_slot").orderBy(value)
-    ranked = (
-        placed.drop("_n")
-        .join(targets.select(*keys, "_slot", "_before", "_ranks", "_n"), [*keys, "_slot"])
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(within))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.filter("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
-            ),
-        )
+    v = F.col("_v")
+    sides = [
+        F.when(v < F.col("_ends")[2 * i], F.struct(F.lit(i).alias("i"), F.lit(None).cast(df.schema[value].dataType).alias("v")))
+        .when(v <= F.col("_ends")[2 * i + 1], F.struct(F.lit(i).alias("i"), v.alias("v")))
+        for i in range(len(probs))
+    ]
+    counted = (
+        data.join(brackets.select(*keys, "_ends"), keys)
+        .select(*keys, F.explode(F.array(*sides)).alias("_s"))
+        .filter(F.col("_s").isNotNull())
+        .groupBy(*keys, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
+    # Nulls sort first, so the count below a bracket opens the running total.
+    rising = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_v"))
+    ranked = counted.withColumn("_end", F.sum("_c").over(rising)).withColumn(
+        "_start", F.col("_end") - F.col("_c"))
+    position = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("_rank") == rank, v))
-
-    def quantile(p: float) -> Column:
-        pos = position[p]
-        low, high = F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint")
-        weight = F.max(pos - F.floor(pos))
-        return at(low) + (at(high) - at(low)) * weight
+        hit = (rank >= F.col("_start")) & (rank < F.col("_end"))
+        return F.max(F.when(hit, v))
 
-    result = ranked.groupBy(*keys).agg(*[quantile(p).alias(n) for p, n in zip(probs, names)])
-    return result.select(*shown, *names)
+    low, high = at(F.floor(position)), at(F.ceil(position))
+    weight = F.max(position - F.floor(position))
+    per_prob = ranked.join(brackets.select(*keys, "_n", "_mean"), keys).groupBy(*keys, "_i").agg(
+        (low + (high - low) * weight).alias("_q"), F.max("_mean").alias("_mean"))
+    result = per_prob.groupBy(*keys).agg(
+        *([F.max("_mean").alias(mean)] if mean else []),
+        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    return result.select(*shown, *([mean] if mean else []), *names)

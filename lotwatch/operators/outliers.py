@@ -7,16 +7,21 @@ the same for any partitioning.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwatch.params import DetectionParams
 from lotwatch.session import materialize
 
+# Workers get these functions by value, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEPTH = 8
 INNER = 2**DEPTH - 1
 SAMPLE = 2**DEPTH
@@ -66,31 +71,37 @@ class Forest:
     leaf: np.ndarray
     sample_size: int
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        paths = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for feature, cut, leaf in zip(self.feature, self.cut, self.leaf):
-            node = np.zeros(len(x), dtype=np.int32)
-            for _ in range(DEPTH):
-                node = 2 * node + 1 + (x[rows, feature[node]] >= cut[node])
-            paths += leaf[node - INNER]
-        return np.exp2(-paths / (len(self.leaf) * _mean_path(self.sample_size)))
+
+def forest_score(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, leaf: np.ndarray,
+                 sample_size: int) -> np.ndarray:
+    paths = np.zeros(len(x))
+    rows = np.arange(len(x))
+    for tree_feature, tree_cut, tree_leaf in zip(feature, cut, leaf):
+        node = np.zeros(len(x), dtype=np.int32)
+        for _ in range(DEPTH):
+            node = 2 * node + 1 + (x[rows, tree_feature[node]] >= tree_cut[node])
+        paths += tree_leaf[node - INNER]
+    return np.exp2(-paths / (len(leaf) * _mean_path(sample_size)))
 
 
 def fit(df: DataFrame, key: str, features: list[str], trees: int = 100, seed: int = 42) -> Forest:
-    """Grow the forest. Each tree takes the 256 rows with the smallest hash of (key, tree).
+    """Grow the forest from a bounded, hash-chosen pool of rows.
 
-    A hash cut keeps about twice that many candidates per tree before anything is shuffled,
-    so a group holds some 512 rows however large the table is.
+    One hash per row keeps about as many rows as all trees need together; each tree then takes
+    the 256 pool rows with the smallest hash of (key, tree). What is shuffled does not grow
+    with the table.
     """
     total = df.count()
-    share = min(1.0, 2.0 * SAMPLE / max(total, 1))
-    limit = int(share * HASH_RANGE)
-    ids = F.array(*[F.lit(t) for t in range(trees)])
+    pool_size = trees * SAMPLE
     row_hash = lambda t: F.pmod(F.xxhash64(F.col(key), t), F.lit(HASH_RANGE))
-    sampled = df.select(
-        key, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
-        F.explode(F.filter(ids, lambda t: row_hash(t) < limit)).alias("tree"),
+    cut_at = lambda wanted, of: int(min(1.0, wanted / max(of, 1)) * HASH_RANGE)
+    pool = df.select(
+        key, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
+    ).filter(row_hash(F.lit(-1)) < cut_at(pool_size, total))
+    ids = F.array(*[F.lit(t) for t in range(trees)])
+    candidates = cut_at(2 * SAMPLE, min(pool_size, total))
+    sampled = pool.withColumn(
+        "tree", F.explode(F.filter(ids, lambda t: row_hash(t) < candidates))
     ).withColumn("_h", row_hash(F.col("tree")))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -100,7 +111,8 @@ def fit(df: DataFrame, key: str, features: list[str], trees: int = 100, seed: in
         feature, cut, leaf = grow_tree(group[features].to_numpy(dtype=float), rng)
         return pd.DataFrame({"tree": [tree], "feature": [feature], "cut": [cut], "leaf": [leaf]})
 
-    grown = sampled.groupBy("tree").applyInPandas(grow, _TREE_SCHEMA).orderBy("tree").collect()
+    grown = sampled.groupBy("tree").applyInPandas(grow, _TREE_SCHEMA).collect()
+    grown.sort(key=lambda row: row["tree"])
     return Forest(
         np.array([r["feature"] for r in grown], dtype=np.int32),
         np.array([r["cut"] for r in grown]),
@@ -112,12 +124,15 @@ def fit(df: DataFrame, key: str, features: list[str], trees: int = 100, seed: in
 def score(df: DataFrame, forest: Forest, features: list[str]) -> DataFrame:
     """Add ``outlier_score`` in (0, 1], rounded to six digits."""
     spark: SparkSession = df.sparkSession
-    shared = spark.sparkContext.broadcast(forest)
+    shared = spark.sparkContext.broadcast(
+        (forest.feature, forest.cut, forest.leaf, forest.sample_size))
 
     @F.pandas_udf("double")
     def isolation(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(shared.value.score(x))
+        # Many batches share a point, so each distinct one is scored once.
+        points, position = np.unique(x, axis=0, return_inverse=True)
+        return pd.Series(forest_score(points, *shared.value)[position.ravel()])
 
     inputs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
     return df.withColumn("outlier_score", F.round(isolation(*inputs), 6))

@@ -155,8 +155,7 @@ def quantile_summary(df: DataFrame, keys: Sequence[str], value: str,
         sketch = F.percentile_approx(value, F.array(*[F.lit(p) for p in probs]), 10_000)
         return df.groupBy(*keys).agg(F.avg(value).alias("mean"), sketch.alias("_q")).select(
             *keys, "mean", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    means = df.groupBy(*keys).agg(F.avg(value).alias("mean"))
-    return means.join(exact_quantiles(df, keys, value, probs, names), list(keys))
+    return exact_quantiles(df, keys, value, probs, names, mean="mean")
 
 
 def stage_cost_rows(runs: DataFrame, stages: Sequence[str],
