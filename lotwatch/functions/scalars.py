@@ -62,9 +62,14 @@ def amount(units: Column | str, price: Column | str) -> Column:
     return F.round(as_col(units).cast("double") * as_col(price).cast("double"), 2)
 
 
+def steady_round(c: Column | str, digits: int) -> Column:
+    """Rounding that the summation order cannot tip: noise past twelve digits goes first."""
+    return F.round(F.round(as_col(c), 12), digits)
+
+
 def pct_above(observed: Column | str, baseline: Column | str, digits: int = 1) -> Column:
     observed, baseline = as_col(observed), as_col(baseline)
-    return F.when(baseline > 0, F.round((observed - baseline) / baseline * 100, digits))
+    return F.when(baseline > 0, steady_round((observed - baseline) / baseline * 100, digits))
 
 
 def confidence_tier(c: Column | str, high: float = RootCauseParams.tier_high,

@@ -28,10 +28,10 @@ def batch_alerts(spark, sf):
 @query("alert_reasoning", with_parts("scored", """
 SELECT batch_id, CASE WHEN alert_status = 'UNRESOLVED' THEN 'No baseline on record for this supplier and line.'
  WHEN alert_status = 'FLAGGED' AND z >= threshold THEN printf('Rate %.4f lies %.1f SD over the baseline (mean %.4f, SD %.4f); pre-screen inlier; risk tier %s (composite %.2f).',
-      round(observed_defect_rate, 4), round(z, 1), round(CAST(mean_rate AS DECIMAL(18, 5)), 4)::DOUBLE, round(CAST(std_rate AS DECIMAL(18, 5)), 4)::DOUBLE, risk_tier, round(composite_risk_score, 2))
- WHEN alert_status = 'FLAGGED' THEN printf('Borderline z %.1f confirmed by lot %s at rate %.4f; risk tier %s.', round(z, 1), material_lot, round(lot_rate, 4), risk_tier)
- WHEN alert_status = 'REVIEW' THEN printf('Borderline z %.1f, lot rate %.4f not raised.', round(z, 1), round(lot_rate, 4))
- ELSE printf('Rate %.4f is %.1f SD from the baseline.', round(observed_defect_rate, 4), round(z, 1)) END AS reasoning FROM scored"""))
+      round(CAST(observed_defect_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, round(CAST(mean_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(std_rate AS DECIMAL(24, 12)), 4)::DOUBLE, risk_tier, round(CAST(composite_risk_score AS DECIMAL(24, 12)), 2)::DOUBLE)
+ WHEN alert_status = 'FLAGGED' THEN printf('Borderline z %.1f confirmed by lot %s at rate %.4f; risk tier %s.', round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, material_lot, round(CAST(lot_rate AS DECIMAL(24, 12)), 4)::DOUBLE, risk_tier)
+ WHEN alert_status = 'REVIEW' THEN printf('Borderline z %.1f, lot rate %.4f not raised.', round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, round(CAST(lot_rate AS DECIMAL(24, 12)), 4)::DOUBLE)
+ ELSE printf('Rate %.4f is %.1f SD from the baseline.', round(CAST(observed_defect_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE) END AS reasoning FROM scored"""))
 def alert_reasoning(spark, sf):
     return D.compute_alerts(spark, sf, with_type=False).select(
         "batch_id", F.col("reasoning_chain").alias("reasoning"))
@@ -226,7 +226,7 @@ def defect_heat_cells(spark, sf):
 
 
 @query("pct_above_baseline", with_parts("alerts", """
-SELECT batch_id, CASE WHEN mean_rate > 0 THEN round((observed_defect_rate - mean_rate) / mean_rate * 100, 1) END AS pct_above_baseline
+SELECT batch_id, CASE WHEN mean_rate > 0 THEN round(CAST((observed_defect_rate - mean_rate) / mean_rate * 100 AS DECIMAL(24, 12)), 1)::DOUBLE END AS pct_above_baseline
 FROM alerts"""))
 def pct_above_baseline(spark, sf):
     return D.alerts(spark, sf).select(

@@ -11,6 +11,7 @@ from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
 from lotwatch.sources import tables
 from lotwatch.sources import testdata as D
+from lotwatch.sources.export import trend_extract
 
 AT = "2024-02-01 00:00:00"
 
@@ -240,9 +241,8 @@ def lookup_first_alert_week(spark, sf):
 
 
 @query("alert_week_extract", with_parts("weekly", """
-SELECT supplier_id, CAST(production_week AS VARCHAR) AS production_week, round(weekly_defect_rate, 5) AS weekly_defect_rate, total_defects,
+SELECT supplier_id, CAST(production_week AS VARCHAR) AS production_week, round(CAST(weekly_defect_rate AS DECIMAL(24, 12)), 5)::DOUBLE AS weekly_defect_rate, total_defects,
        total_units_inspected, above_threshold, 0.038::DOUBLE AS threshold,
        CASE WHEN above_threshold THEN CAST(production_week AS VARCHAR) END AS alert_week FROM weekly"""))
 def alert_week_extract(spark, sf):
-    from lotwatch.sources.export import trend_extract
     return present(trend_extract(D.weekly(spark, sf), D.PARAMS.rate_threshold))

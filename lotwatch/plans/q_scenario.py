@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwatch.operators import briefing, lookups, reports, scenarios
-from lotwatch.params import RETURN_RATE_VARIANTS, ScenarioParams, SummaryParams
+from lotwatch.params import (
+    RETURN_RATE_VARIANTS,
+    ROI_STAGE_COSTS,
+    ROI_STAGES,
+    ScenarioParams,
+    SummaryParams,
+)
 from lotwatch.plans.present import present
 from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
@@ -196,7 +202,6 @@ FROM scope CROSS JOIN (VALUES ('detect_early', [15000, 25000, 30000, 40000, 3500
   ('do_nothing', [0, 0, 0, 0, 580000, 2600000]), ('ai_investment', [15000, 25000, 30000, 40000, 350000, 420000])) AS p(scenario, costs),
   LATERAL (SELECT unnest(costs)::DOUBLE AS cost, generate_subscripts(costs, 1) AS seq)"""))
 def stage_plan(spark, sf):
-    from lotwatch.params import ROI_STAGE_COSTS, ROI_STAGES
     plan = scenarios.stage_cost_rows(_scope(spark, sf).select("run_id"), ROI_STAGES, ROI_STAGE_COSTS)
     return present(scenarios.roi_curves(plan, PARAMS), "run_id", "scenario", "stage_sequence", "cumulative_cost_usd")
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from lotwatch.functions import text as T
 from lotwatch.functions.ranking import latest_per_key
-from lotwatch.functions.scalars import word_count
+from lotwatch.functions.scalars import kpi_colour, word_count
 from lotwatch.operators import briefing, reports, scenarios
-from lotwatch.params import ScenarioParams, SummaryParams
+from lotwatch.params import SummaryParams
 from lotwatch.plans.present import present
 from lotwatch.plans.q_scenario import _projections, _scope, _yearly
 from lotwatch.plans.registry import query
@@ -147,11 +147,8 @@ def operations_summary(spark, sf):
 SELECT n AS unverified_claim_count, CASE WHEN n = 0 THEN 'green' WHEN n <= 2 THEN 'amber' ELSE 'red' END AS kpi_colour, count(*) AS texts
 FROM (SELECT t.doc_id, count(*) FILTER (NOT ok) AS n FROM texts t LEFT JOIN judged USING (doc_id) GROUP BY 1) GROUP BY 1, 2"""))
 def claim_kpi_colours(spark, sf):
-    from lotwatch.functions.scalars import kpi_colour
     rows = briefing.audit(_documents(spark, sf), "text", "trusted", SUMMARY)
     counted = rows.select(F.size("unverified_claims").alias("unverified_claim_count"))
     return present(counted.groupBy("unverified_claim_count", kpi_colour("unverified_claim_count").alias("kpi_colour"))
                    .agg(F.count(F.lit(1)).alias("texts")))
 
-
-SCENARIO = ScenarioParams()

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from lotwatch.functions.scalars import steady_round
+
 
 def flat(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text, which is the only form CSV can hold."""
@@ -37,7 +39,7 @@ def export_all(tables: dict[str, DataFrame], folder: str, run_id: str, at: Colum
 def trend_extract(trend: DataFrame, threshold: float) -> DataFrame:
     """Weekly trend with the helper column that marks alert weeks."""
     return trend.select(
-        "supplier_id", "production_week", F.round("weekly_defect_rate", 5).alias("weekly_defect_rate"),
+        "supplier_id", "production_week", steady_round("weekly_defect_rate", 5).alias("weekly_defect_rate"),
         "total_defects", "total_units_inspected", "above_threshold",
         F.lit(threshold).alias("threshold"),
         F.when(F.col("above_threshold"), F.col("production_week")).alias("alert_week"),
