@@ -60,9 +60,9 @@ def fact_sales_returns(spark, sf):
 
 @query("dim_supplier", """
 SELECT 'S' || s_suppkey AS supplier_id, s_name AS supplier_name, 'N' || s_nationkey AS country, 'R' || (s_nationkey % 5) AS region,
-       'TIER_2' AS tier, round(s_acctbal / 100000, 6) AS avg_defect_rate, s_acctbal > 5000 AS is_active FROM supplier""")
+       'TIER_2' AS tier, round(s_acctbal / 100000, 8) AS avg_defect_rate, s_acctbal > 5000 AS is_active FROM supplier""")
 def dim_supplier(spark, sf):
-    return present(silver.dim_supplier(feeds.raw_suppliers(spark, sf)).drop("ingested_at"))
+    return present(silver.dim_supplier(feeds.raw_suppliers(spark, sf)).drop("ingested_at"), digits=8)
 
 
 @query("dim_batch", """
