@@ -25,12 +25,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
+SMALL_GROUP = 100_000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     names: Sequence[str], mean: str | None = None) -> DataFrame:
     """Exact interpolated quantiles per group, and the mean on request.
 
     A sketch of known rank error brackets each quantile. The second pass counts the values
-    below each bracket and keeps the distinct values inside it, a few thousandths of a group,
+    below each bracket and keeps the distinct values inside it, some thousandths of a large group,
     so no group is ever sorted as a whole. The brackets are staged: for as many groups as fit
     under the broadcast limit the rows are not shuffled before they are counted.
     """
@@ -40,12 +43,19 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     data = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     accuracy = 10_000
-    margin = 2.0 / accuracy
+    margin = 5.0 / accuracy
     ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
-    brackets = staged(data.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), accuracy).alias("_ends"),
+    shape = data.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), accuracy).alias("_near"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.count("_v").alias("_n"), F.avg("_v").alias("_mean"),
-    ), "brackets")
+    )
+    # The margin is counted in ranks of the group, so it says too little about a small one,
+    # which is bracketed whole.
+    whole = F.array(*[F.col(c) for _ in probs for c in ("_min", "_max")])
+    brackets = staged(shape.withColumn(
+        "_ends", F.when(F.col("_n") <= SMALL_GROUP, whole).otherwise(F.col("_near"))
+    ).drop("_near", "_min", "_max"), "brackets")
 
     v = F.col("_v")
     sides = [

@@ -74,3 +74,19 @@ def test_quantiles_match_interpolation(spark):
         assert np.allclose(got[g], np.percentile(values, [10, 50, 90])), g
     whole = exact_quantiles(df, [], "v", probs, names).first()
     assert np.allclose(tuple(whole), np.percentile(np.concatenate([hot, same, tiny]), [10, 50, 90]))
+
+
+def test_quantiles_of_every_small_size_and_a_large_group(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    groups = {f"n{n}": rng.random(n) for n in [*range(1, 41), 333, 1985, 2003]}
+    data = [(g, float(v)) for g, values in groups.items() for v in values]
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r.g: (r.a, r.b, r.c) for r in exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], names).collect()}
+    for g, values in groups.items():
+        assert np.allclose(got[g], np.percentile(values, [10, 50, 90])), g
+    large = spark.range(250_007).select(F.lit("big").alias("g"), (F.pmod(F.xxhash64("id"), F.lit(100_003)) / 7).alias("v"))
+    values = large.select("v").toPandas()["v"].to_numpy()
+    big = exact_quantiles(large, ["g"], "v", [0.1, 0.5, 0.9], names).first()
+    assert np.allclose((big.a, big.b, big.c), np.percentile(values, [10, 50, 90]))
