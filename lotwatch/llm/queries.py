@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotwatch.llm import tokens
+from lotwatch.llm import contamination, language, tokens
 from lotwatch.llm.common import table
+from lotwatch.llm.mixing import Mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +21,112 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def fold(key: str, of: int) -> Column:
+    """Remainder of the key's checksum, by which rows are held out; null keys are in no fold."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % of, F.lit(-1))
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    return language.fit(docs.where(fold("doc_id", 4) != 2))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.classify(docs, language_model(docs)).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["after"] - s["first"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+ORACLES["op3_decontamination"] = r"""
+WITH low AS (
+  SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark),
+split AS (
+  SELECT doc, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+win AS (
+  SELECT id, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i, w FROM split
+  WHERE NOT doc AND len(w) > 0),
+pattern AS (SELECT DISTINCT id AS item, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM win),
+lengths AS (SELECT DISTINCT n FROM pattern),
+spot AS (
+  SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, lengths WHERE doc AND len(w) >= n),
+found AS (
+  SELECT s.id, s.i, s.n, p.item FROM (SELECT id, i, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM spot) s
+  JOIN pattern p ON s.n = p.n AND s.words = p.words),
+hits AS (
+  SELECT id, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT id, unnest(range(i, i + n)) AS k FROM found) GROUP BY id),
+ids AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM found) GROUP BY id)
+SELECT id AS doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hits USING (id) LEFT JOIN ids USING (id) WHERE doc
+"""
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"),
                                public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Mix(table(spark, sf_dir, "documents")).taken().select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op9_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS ord FROM documents),
+src AS (
+  SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM sized GROUP BY source),
+capped AS (SELECT *, [1, 2, 3][((sid - 1) % 3 + 1)::INT] AS w, s * 3 AS cap FROM src),
+share AS (
+  SELECT *, cap / w AS fill,
+    (sum(s) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(w) OVER (ORDER BY cap / w, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM capped),
+goal AS (
+  SELECT *, least(cap::DOUBLE, w * (SELECT arg_min(share, (fill, sid)) FROM share WHERE share <= fill)) AS target,
+    greatest(1, least(1024, s // 64)) AS blk FROM share),
+quotas AS (
+  SELECT *, (s + blk - 1) // blk AS nb, CASE WHEN s > 0 THEN floor(target / s)::BIGINT ELSE 0 END AS passes FROM goal),
+quota AS (
+  SELECT *, passes * nb + floor((target - passes * s) / blk + 0.5)::BIGINT AS quota FROM quotas),
+line AS (
+  SELECT *, sum(quota) OVER (ORDER BY sid)::BIGINT AS until, (sum(quota) OVER ())::BIGINT AS n FROM quota),
+slot AS (
+  SELECT k AS slot, (k * 0.6180339887498949::DOUBLE - floor(k * 0.6180339887498949::DOUBLE)) * (SELECT max(n) FROM line) AS v
+  FROM range((SELECT max(n) FROM line)) t(k)),
+ranked AS (
+  SELECT sid, quota, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+  FROM slot JOIN line ON v >= until - quota AND v < until),
+used AS (
+  SELECT sid, rank FROM ranked WHERE rank < quota
+  UNION ALL
+  SELECT sid, unnest(range(coalesce(have, 0), quota)) FROM line
+  LEFT JOIN (SELECT sid, count(*) AS have FROM ranked GROUP BY sid) USING (sid)),
+blocks AS (SELECT sid, rank % nb AS block, count(*) AS uses FROM used JOIN line USING (sid) GROUP BY ALL),
+placed AS (
+  SELECT d.*, sid, s, target, blk, sum(size) OVER (PARTITION BY sid ORDER BY ord, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after
+  FROM sized d JOIN line ON d.source IS NOT DISTINCT FROM line.source),
+piece AS (
+  SELECT *, unnest(range((after - size)::BIGINT // blk, (after - 1)::BIGINT // blk + 1)) AS block FROM placed WHERE size > 0),
+taken AS (
+  SELECT doc_id, sum(uses * (least(after, (block + 1) * blk) - greatest(after - size, block * blk))) AS taken
+  FROM piece JOIN blocks USING (sid, block) GROUP BY doc_id)
+SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM placed LEFT JOIN taken USING (doc_id)
+"""
