@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, language, tokens
+from lotwatch.llm import contamination, jaccard, language, tokens
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -74,6 +74,30 @@ FROM split LEFT JOIN hits USING (id) LEFT JOIN ids USING (id) WHERE doc
 """
 
 
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + least(5, len(w)) - 1], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM split WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingle x JOIN shingle y USING (s)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN size m ON m.doc_id = p.a JOIN size n ON n.doc_id = p.b WHERE 100 * c >= 80 * (m.n + n.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM size UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM split LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"),
