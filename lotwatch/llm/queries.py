@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, jaccard, language, tokens
+from lotwatch.llm import contamination, jaccard, language, tokens, vectors
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -154,3 +154,26 @@ taken AS (
 SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM placed LEFT JOIN taken USING (doc_id)
 """
+
+
+@query
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_vector_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS n FROM usable),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.93),
+reach AS (SELECT a, a AS b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS vec_id, min(b) AS least FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least, vec_id) AS component_id,
+  coalesce(least, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
