@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotwatch.session import scratch_path
 
@@ -71,3 +72,28 @@ class Written:
         """Remove the files once no later job reads them."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Bits of a table of marks.
+MARKS = 1 << 25
+
+
+def marks(values: DataFrame) -> np.ndarray:
+    """Bit table of the low bits of a column of well-mixed longs.
+
+    It has at most MARKS bits whatever the input, so it can travel with a task. It tells which
+    rows may be wanted: never misses one, and lets others through the more, the fuller it is.
+    Exact joins follow.
+    """
+    name = values.columns[0]
+    place = values.select(F.expr(f"cast({name} & {MARKS - 1} as int)").alias("place"))
+    rows = place.select(F.expr("cast(place div 32 as int)").alias("word"), (F.col("place") % 32).alias("bit")).groupBy(
+        "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    table = np.zeros(MARKS // 32, np.uint32)
+    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    return table
+
+
+def marked(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    low = values & (MARKS - 1)
+    return ((table[low // 32] >> (low % 32).astype(np.uint32)) & 1).astype(bool)

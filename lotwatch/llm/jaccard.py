@@ -3,9 +3,8 @@
 Light (small) sets enumerate subsets of the size that a linked partner must share; heavy sets
 scan inverted lists, of which a linked pair shares one among each set's rarest shingles. The
 boundary is the one of least cost for the sizes at hand. Equal sets are one class throughout.
-Within a list or subset bucket every class is compared with two leaders first; pairs between
-classes that these links leave in different groups are compared after that, so groups of near
-copies cost one comparison per member and bucket, and no link that matters to a group is lost.
+Within a list or subset bucket every class is compared with two leaders first, then pairwise
+where that leaves different groups.
 """
 
 from __future__ import annotations
@@ -21,14 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwatch.llm.common import Written, map_slices, slices, texts
-from lotwatch.llm.components import connected
+from lotwatch.llm.common import Written, map_slices, marked, marks, slices, texts
+from lotwatch.llm.components import bucketed, grouped
 from lotwatch.llm.words import mix, shingle_sets
 
 #: Buckets of the frequency table by which shingles are ordered, and rows that it travels in.
 BUCKETS, PARTS = 1 << 21, 64
-#: Bits of the table of wanted classes.
-BITS = 1 << 25
 
 
 @dataclass(frozen=True)
@@ -142,7 +139,7 @@ def frequency_levels(tables: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardParams) -> DataFrame:
-    """(key, fp, n): the subsets that light sets enumerate and the lists that sets stand in."""
+    """(key, node, n): the subsets that light sets enumerate and the lists that sets stand in."""
     words, percent = params.words, params.percent
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -165,30 +162,23 @@ def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardPar
                 owners.append(np.full(len(subsets), r))
         owner = np.concatenate(owners)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(fp[owner]),
-                                           pa.array(size[owner], pa.int64())], ["key", "fp", "n"])
+                                           pa.array(size[owner], pa.int64())], ["key", "node", "n"])
 
-    return map_slices(docs, run, "key long, fp long, n long", "_text")
+    return map_slices(docs, run, "key long, node long, n long", "_text")
 
 
 def sets(docs: DataFrame, wanted: DataFrame, params: JaccardParams) -> DataFrame:
     """(fp, elements) of the classes in ``wanted``, and few others.
 
-    Tasks pick sets by a bit table made of ``wanted`` that has at most BITS bits whatever the
-    input; the joins that follow are exact.
+    Tasks pick sets by marks of bounded size; the joins that follow are exact.
     """
-    words = params.words
-    marked = wanted.select(F.expr(f"cast(fp & {BITS - 1} as int)").alias("place")).select(
-        F.expr("place div 32").alias("word"), (F.col("place") % 32).alias("bit")).groupBy("word").agg(
-        F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
-    table = np.zeros(BITS // 32, np.int64)
-    table[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
+    words, table = params.words, marks(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for piece in slices(batches, "_text"):
             value, at, fp = sets_of(piece.column("_text"), words)
-            low = fp & (BITS - 1)
-            hit = np.flatnonzero((table[low // 32] >> (low % 32)) & 1)
+            hit = np.flatnonzero(marked(table, fp))
             new = [i for i in hit.tolist() if fp[i] not in sent and not sent.add(fp[i])]
             if new:
                 yield pa.RecordBatch.from_arrays([pa.array(fp[new]), pa.array(
@@ -231,38 +221,13 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
     light = boundary({r["n"]: r["count"] for r in small.collect()}, params)
 
     posts = postings(docs, levels, light, params)
-    shared = posts.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"),
-                                      F.count("*").alias("many")).where("lo < hi")
-    # Every class of a shared bucket, with the bucket's two leaders.
-    members = Written(posts.join(shared, "key"), "buckets").df
-    sizes = members.select("fp", "n").distinct()
-    near = f"100 * least(an, bn) >= {params.percent} * greatest(an, bn)"
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link."""
-        return (pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-                .join(sizes.toDF("a", "an"), "a").join(sizes.toDF("b", "bn"), "b").where(near).select("a", "b"))
-
-    leaders = members.select(F.col("fp").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
-    stars = Written(sized(leaders), "stars").df
-    elements = sets(docs, stars.select(F.explode(F.array("a", "b")).alias("fp")), params)
-    links = Written(verified(stars, elements, params.percent), "links").df
-    group = connected(links)
-
-    # Classes of a bucket that are still in different groups, and were not compared yet.
-    busy = members.where("many > 2").join(group.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "key", "fp", "n", F.coalesce("component", "fp").alias("component")).distinct()
-    mixed = busy.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
-    if not rest.isEmpty():
-        left = rest.select("key", F.col("fp").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-        right = rest.select("key", F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-        pairs = (left.join(right, "key").where(f"a < b and ac != bc and {near}").select("a", "b").distinct()
-                 .join(stars, ["a", "b"], "left_anti"))
-        pairs = Written(pairs, "pairs").df
+    members = Written(bucketed(posts), "buckets").df
+
+    def check(pairs: DataFrame) -> DataFrame:
         elements = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")), params)
-        more = verified(pairs, elements, params.percent)
-        group = connected(group.toDF("a", "b").unionByName(more))
+        return verified(pairs, elements, params.percent)
+
+    group = grouped(members, params.percent, check)
 
     # The smallest key of each class, then of each group of classes.
     least = ids.groupBy("fp").agg(F.min("_key").alias("least")).join(group.withColumnRenamed("node", "fp"), "fp", "left")
