@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, jaccard, language, tokens, vectors
+from lotwatch.llm import contamination, jaccard, language, lines, tokens, vectors
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -104,6 +104,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs).select(
+        "doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"), "text")
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(table(spark, sf_dir, "documents")).taken().select(
