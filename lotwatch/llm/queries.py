@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, jaccard, language, lines, tokens, vectors
+from lotwatch.llm import contamination, jaccard, language, licenses, lines, quality, tokens, urls, vectors
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -37,6 +37,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    trees = quality.fit(docs, labels.where(fold("doc_id", 5) != 0))
+    return quality.score(docs, trees).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -111,6 +119,25 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"), "text")
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_blocks", F.size("found").cast("long").alias("n_found"),
+        F.array_sort(F.array_distinct("found.license")).alias("licenses"), "found")
+
+
+#: Fixed values of the query: hosts and paths that are decided without a model.
+RULES = (
+    urls.Rule("org", "/", "allow"), urls.Rule("example.org", "/es/", "block"), urls.Rule("example.org", "/en/1", "block"),
+    urls.Rule("com", "/fr/", "allow"), urls.Rule("com", "/de/", "block"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, RULES, urls.fit(pages)).select("page_id", "host", "path", "rule", "verdict", "score", "words")
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(table(spark, sf_dir, "documents")).taken().select(
