@@ -97,3 +97,18 @@ def marks(values: DataFrame) -> np.ndarray:
 def marked(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     low = values & (MARKS - 1)
     return ((table[low // 32] >> (low % 32).astype(np.uint32)) & 1).astype(bool)
+
+
+def apart(docs: DataFrame, key: str, keys: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two: rows whose key is not in ``keys``, and the rest, which holds all rows
+    whose key is and perhaps a few others. Neither shuffles; only the rest needs exact joins."""
+    table = marks(keys.select(F.xxhash64(F.col(keys.columns[0])).alias("mark")))
+    rows = docs.withColumn("_mark", F.xxhash64(F.col(key)))
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array(marked(table, batch.column("_mark").to_numpy()) == wanted))
+
+        return map_slices(rows, run, rows.schema, text).drop("_mark")
+
+    return part(False), part(True)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwatch.llm.common import Written, map_slices, marked, marks, slices, texts
+from lotwatch.llm.common import Written, apart, map_slices, marked, marks, slices, texts
 from lotwatch.llm.components import bucketed, grouped
 from lotwatch.llm.words import mix, shingle_sets
 
@@ -238,3 +238,19 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
     return ids.join(named, "fp").select(
         F.col("_key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_key")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, groups: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stand for their group.
+
+    ``groups`` is a result of ``linked_groups``. The row with the smallest key of a group stays,
+    and of repeated rows of one key and text one. Rows with a null key stay. Only documents that
+    share a group or a key are shuffled.
+    """
+    groups = Written(groups.select(F.col(key).alias("_id"), "component_id"), "groups").df
+    gone = groups.where("component_id != _id").select("_id").distinct()
+    twice = groups.where("_id is not null").groupBy("_id").count().where("count > 1").select("_id")
+    rest, hit = apart(docs, key, gone.union(twice), text)
+    hit = hit.join(gone, hit[key] == gone["_id"], "left_anti")
+    again = hit.where(hit[key].isNotNull()).dropDuplicates([key, text])
+    return rest.unionByName(again).unionByName(hit.where(hit[key].isNull()))
