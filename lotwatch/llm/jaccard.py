@@ -24,6 +24,8 @@ from lotwatch.llm.common import Written, apart, map_slices, marked, marks, slice
 from lotwatch.llm.components import bucketed, grouped
 from lotwatch.llm.words import mix, shingle_sets
 
+#: Bits of a set's parity sketch.
+PARITY = 2048
 #: Buckets of the frequency table by which shingles are ordered, and rows that it travels in.
 BUCKETS, PARTS = 1 << 21, 64
 
@@ -82,10 +84,23 @@ def sets_of(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return value, at, set_hashes(value, at)
 
 
+def parity_sketches(value: np.ndarray, at: np.ndarray) -> pa.Array:
+    """PARITY bits per set, as longs: each element flips the bit that its hash picks.
+
+    Bits that differ between two sketches are at most the elements that only one set has, so
+    sketches rule out pairs, and never a linked one.
+    """
+    n = len(at) - 1
+    place = np.repeat(np.arange(n), np.diff(at)) * PARITY + ((value >> np.uint64(21)) & np.uint64(PARITY - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n * PARITY)[:n * PARITY] & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (PARITY // 64), pa.int32()),
+                                    pa.array(np.packbits(odd).view(np.int64)))
+
+
 def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """(_key, n, fp) per row; per task also its shingle counts by bucket as (part, counts)."""
+    """(_key, n, fp, sketch) per row; per task also its shingle counts by bucket as (part, counts)."""
     words, kind = params.words, docs.schema["_key"].dataType.simpleString()
-    names = ["_key", "n", "fp", "part", "counts"]
+    names = ["_key", "n", "fp", "sketch", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, key_type = np.zeros(BUCKETS, np.uint32), None
@@ -95,15 +110,16 @@ def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
             m, key_type = piece.num_rows, piece.column("_key").type
             yield pa.RecordBatch.from_arrays([
                 piece.column("_key"), pa.array(np.diff(at), pa.int64()), pa.array(fp),
-                pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+                parity_sketches(value, at), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if key_type is not None and total.any():
             rows = [(p, zlib.compress(c.tobytes(), 1)) for p, c in enumerate(total.reshape(PARTS, -1)) if c.any()]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
+                pa.nulls(len(rows), pa.list_(pa.int64())),
                 pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names)
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, part int, counts binary")
+    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, sketch array<long>, part int, counts binary")
 
 
 def frequency_levels(tables: DataFrame) -> np.ndarray:
@@ -223,7 +239,12 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
     posts = postings(docs, levels, light, params)
     members = Written(bucketed(posts), "buckets").df
 
+    sketches = described.df.where("n > 0").select("fp", "n", "sketch").dropDuplicates(["fp"])
+
     def check(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sketches.toDF("a", "an", "x"), "a").join(sketches.toDF("b", "bn", "y"), "b")
+        differ = "aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+        pairs = Written(both.where(f"{100 + params.percent} * {differ} <= {100 - params.percent} * (an + bn)").select("a", "b"), "likely").df
         elements = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")), params)
         return verified(pairs, elements, params.percent)
 
