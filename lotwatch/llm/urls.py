@@ -2,7 +2,8 @@
 
 Names in a URL are split into words by a unigram Viterbi search, and a multinomial naive Bayes
 model scores the words. It is trained on the table's own hosts: a host with a seed word between
-its separators is an example to block, any other one to allow.
+its separators is an example to block, one without seeds an example to allow, and one where a
+seed only shows after splitting teaches nothing.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ class UrlParams:
     vocabulary: int = 50_000
     longest: int = 24
     threshold: float = 0.5
-    smoothing: float = 50.0
+    smoothing: float = 10.0
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -149,7 +150,8 @@ def fit(pages: DataFrame, params: UrlParams = UrlParams(), url: str = "url") ->
             rows = []
             for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
                 bad = not seeds.isdisjoint(NAMES.findall(h))
-                rows += [(h, bad, t) for t in {*bare.tokens(h, p, known)}]
+                if bad or seeds.isdisjoint(bare.tokens(h, "", known)):
+                    rows += [(h, bad, t) for t in {*bare.tokens(h, p, known)}]
             h, b, t = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(b, pa.bool_()), pa.array(t, pa.string())],
                                              ["host", "bad", "token"])

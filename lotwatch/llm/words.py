@@ -42,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(base: np.uint64, name: str, n: int) -> np.ndarray:
-    if len(_powers.get(name, ())) < n:
+    if name not in _powers or len(_powers[name]) < n:
         run = np.full(max(n, 1 << 16), base, np.uint64)
         run[0] = 1
         _powers[name] = np.multiply.accumulate(run)
