@@ -39,39 +39,41 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def bucketed(postings: DataFrame) -> DataFrame:
-    """``postings`` (key, node, n) of buckets with two nodes or more, with two leaders of each."""
+    """``postings`` (key, node, ...) of buckets with two nodes or more, with two leaders of each."""
     shared = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
                                          F.count("*").alias("many")).where("lo < hi")
     return postings.join(shared, "key")
 
 
-def grouped(members: DataFrame, percent: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of the nodes that share a bucket and link.
 
-    ``members`` is a written table as of ``bucketed``; ``verified`` picks from pairs (a, b) those
-    that link; linked nodes have sizes ``n`` of which the smaller is at least ``percent`` of the
-    larger. Every node is compared with its buckets' leaders first. Nodes of a bucket that are
-    then still in different groups are compared pairwise. So a bucket of near copies costs one
-    comparison per member, and every link between what would be different groups is found.
+    ``members`` is a written table as of ``bucketed``, whose further columns describe the node.
+    ``likely`` is a condition that all linked pairs fulfil, in these columns with ``a_`` or
+    ``b_`` before their names; ``verified`` picks from pairs (a, b) those that link. Every node
+    is compared with its buckets' leaders first. Nodes of a bucket that are then still in
+    different groups are compared pairwise. So a bucket of near copies costs one comparison per
+    member, and every link between what would be different groups is found.
     """
-    sizes = members.select("node", "n").distinct()
-    near = f"100 * least(an, bn) >= {percent} * greatest(an, bn)"
+    about = [c for c in members.columns if c not in ("key", "node", "lo", "hi", "many")]
+    named = members.select("node", *about).distinct()
+    side = lambda df, x: df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns if c != "key"],
+                                   *[c for c in df.columns if c == "key"])
     leaders = members.select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a != b")
     stars = (leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(sizes.toDF("a", "an"), "a").join(sizes.toDF("b", "bn"), "b").where(near).select("a", "b"))
+             .join(side(named, "a"), "a").join(side(named, "b"), "b").where(likely).select("a", "b"))
     stars = Written(stars, "stars").df
     links = Written(verified(stars), "links").df
     group = connected(links)
 
-    named = group.withColumnRenamed("node", "other")
+    found = group.withColumnRenamed("node", "other")
     busy = members.where("many > 2")
-    busy = busy.join(named, busy["node"] == named["other"], "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")).distinct()
-    mixed = busy.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    busy = busy.join(found, busy["node"] == found["other"], "left").select(
+        "key", "node", *about, F.coalesce("component", "node").alias("group")).distinct()
+    mixed = busy.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
     rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
     if rest.isEmpty():
         return group
-    left, right = rest.toDF("key", "a", "an", "ac"), rest.toDF("key", "b", "bn", "bc")
-    pairs = left.join(right, "key").where(f"a < b and ac != bc and {near}").select("a", "b").distinct()
-    pairs = Written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs").df
+    pairs = side(rest, "a").join(side(rest, "b"), "key").where(f"a < b and a_group != b_group and {likely}")
+    pairs = Written(pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "pairs").df
     return connected(links.unionByName(verified(pairs)))

@@ -248,7 +248,8 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
         elements = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")), params)
         return verified(pairs, elements, params.percent)
 
-    group = grouped(members, params.percent, check)
+    near = f"100 * least(a_n, b_n) >= {params.percent} * greatest(a_n, b_n)"
+    group = grouped(members, near, check)
 
     # The smallest key of each class, then of each group of classes.
     least = ids.groupBy("fp").agg(F.min("_key").alias("least")).join(group.withColumnRenamed("node", "fp"), "fp", "left")

@@ -182,11 +182,16 @@ def repeated(docs, params):
             if len(plain) >= params.shortest:
                 seen.setdefault(plain, []).append((key, number))
     plain = list(seen)
-    keys = {}
-    for p in plain:
-        found = lines.lines_of(pa.array([p]), 0)
-        keys[p] = set(lines.blocks(found.sim, found.anchor, params.blocks).tolist())
-    links = [(a, b) for a, b in itertools.combinations(plain, 2) if keys[a] & keys[b]
+    found = {p: lines.lines_of(pa.array([p]), 0) for p in plain}
+    sim, anchor = ({p: int(getattr(f, name)[0]) for p, f in found.items()} for name in ("sim", "anchor"))
+    bits = 64 // params.blocks
+
+    def meet(a, b):
+        differ = sim[a] ^ sim[b]
+        return anchor[a] == anchor[b] and differ.bit_count() <= params.bits and any(
+            not differ >> bits * k & (1 << bits) - 1 for k in range(params.blocks))
+
+    links = [(a, b) for a, b in itertools.combinations(plain, 2) if meet(a, b)
              and 100 * distance(a, b) <= (100 - params.percent) * max(len(a), len(b))]
     root, groups = reachable(plain, links), {}
     for p in plain:
@@ -226,16 +231,28 @@ def test_line_dedup(corpus, by_id, nulls):
     assert lines.drop_repeated_lines(same.union(same)).where("_removed > 0").count() == 0
 
 
-def test_simhash_blocks_meet_within_their_distance():
+def test_simhash_blocks_meet_within_their_distance(spark):
     rng = np.random.default_rng(7)
-    sim = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
-    anchor = np.full(200, 5, np.uint64)
-    other = sim.copy()
+    rows = []
     for i in range(200):
-        for bit in rng.choice(64, 5, replace=False):
-            other[i] ^= np.uint64(1) << np.uint64(bit)
-    a, b = (lines.blocks(x, anchor, 6).reshape(6, -1) for x in (sim, other))
-    assert (a == b).any(0).all()
+        sim = int(rng.integers(0, 1 << 63))
+        other = sim
+        for bit in rng.choice(64, 7, replace=False):
+            other ^= 1 << int(bit)
+        rows += [(2 * i, sim - (1 << 62), i), (2 * i + 1, (other & (1 << 64) - 1) - (1 << 62), i)]
+    rows = [(n, (s + (1 << 62) + (1 << 63)) % (1 << 64) - (1 << 63), a) for n, s, a in rows]
+    classes = spark.createDataFrame(rows, "node long, sim long, anchor long").withColumn("n", F.lit(1))
+    shared = components.bucketed(lines.postings(classes, 8))
+    assert {r.node for r in shared.collect()} == set(range(400))
+
+
+def test_distance_within():
+    rng = np.random.default_rng(11)
+    for _ in range(500):
+        a = "".join(rng.choice(list("abc"), rng.integers(0, 14)))
+        b = "".join(rng.choice(list("abc"), rng.integers(0, 14))) if rng.random() < 0.5 else a[:3] + "x" + a[4:]
+        for limit in range(6):
+            assert lines.distance_within(a, b, limit) == (distance(a, b) <= limit), (a, b, limit)
 
 
 def test_vectors(spark):
