@@ -24,8 +24,6 @@ from lotwatch.llm.common import Written, apart, map_slices, marked, marks, slice
 from lotwatch.llm.components import bucketed, grouped
 from lotwatch.llm.words import mix, shingle_sets
 
-#: Bits of a set's parity sketch.
-PARITY = 2048
 #: Buckets of the frequency table by which shingles are ordered, and rows that it travels in.
 BUCKETS, PARTS = 1 << 21, 64
 
@@ -84,17 +82,28 @@ def sets_of(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return value, at, set_hashes(value, at)
 
 
-def parity_sketches(value: np.ndarray, at: np.ndarray) -> pa.Array:
-    """PARITY bits per set, as longs: each element flips the bit that its hash picks.
+def parity_sketches(value: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """A few bits per element of each set: each element flips the bit that its hash picks.
 
     Bits that differ between two sketches are at most the elements that only one set has, so
-    sketches rule out pairs, and never a linked one.
+    sketches rule out pairs, and never a linked one. Sizes are powers of two: a longer sketch
+    folds to the shorter one's size.
     """
-    n = len(at) - 1
-    place = np.repeat(np.arange(n), np.diff(at)) * PARITY + ((value >> np.uint64(21)) & np.uint64(PARITY - 1)).astype(np.int64)
-    odd = (np.bincount(place, minlength=n * PARITY)[:n * PARITY] & 1).astype(np.uint8)
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (PARITY // 64), pa.int32()),
-                                    pa.array(np.packbits(odd).view(np.int64)))
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        bits = 1 << max(6, (2 * (b - a) - 1).bit_length())
+        place = ((value[a:b] >> np.uint64(21)) & np.uint64(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, folded to the shorter one's size."""
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, len(y)), axis=0).tobytes()
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
 
 
 def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
@@ -110,16 +119,16 @@ def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
             m, key_type = piece.num_rows, piece.column("_key").type
             yield pa.RecordBatch.from_arrays([
                 piece.column("_key"), pa.array(np.diff(at), pa.int64()), pa.array(fp),
-                parity_sketches(value, at), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+                pa.array(parity_sketches(value, at), pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if key_type is not None and total.any():
             rows = [(p, zlib.compress(c.tobytes(), 1)) for p, c in enumerate(total.reshape(PARTS, -1)) if c.any()]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
-                pa.nulls(len(rows), pa.list_(pa.int64())),
+                pa.nulls(len(rows), pa.binary()),
                 pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names)
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, sketch array<long>, part int, counts binary")
+    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, sketch binary, part int, counts binary")
 
 
 def frequency_levels(tables: DataFrame) -> np.ndarray:
@@ -241,10 +250,16 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
 
     sketches = described.df.where("n > 0").select("fp", "n", "sketch").dropDuplicates(["fp"])
 
+    def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds = zip(*(batch.column(c).to_pylist() for c in ("x", "y", "size")))
+            keep = [(100 + params.percent) * differing(x, y) <= (100 - params.percent) * n for x, y, n in bounds]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
     def check(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sketches.toDF("a", "an", "x"), "a").join(sketches.toDF("b", "bn", "y"), "b")
-        differ = "aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
-        pairs = Written(both.where(f"{100 + params.percent} * {differ} <= {100 - params.percent} * (an + bn)").select("a", "b"), "likely").df
+        both = both.select("a", "b", "x", "y", (F.col("an") + F.col("bn")).alias("size"))
+        pairs = Written(both.mapInArrow(rule_out, "a long, b long"), "likely").df
         elements = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")), params)
         return verified(pairs, elements, params.percent)
 
