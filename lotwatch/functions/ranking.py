@@ -14,7 +14,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     """One row per key, the greatest by ``order``; the other columns settle what is left equal.
 
     The maximum of a struct combines on the map side, so a key repeated across the whole input
-    reaches the shuffle as one row per task (a row_number window would move every copy).
+    reaches the shuffle as one row per task.
     """
     named = [o for o in order if isinstance(o, str)]
     rest = [c for c in df.columns if c not in keys and c not in named]
@@ -25,66 +25,62 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
-SMALL_GROUP = 100_000
+def in_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` written in ranges of ``order``, with the number of each row's range as ``_range``.
+
+    Ranges are numbered in the order, and their sizes are bounded by the sampled splits, not by
+    any key's share of the rows.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return staged(ranged, name)
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Place of every row in ``order``, from 1: the rows before its range, and its place there."""
+    rows = in_ranges(df, order, "ranged")
+    sizes = rows.groupBy("_range").count()
+    before = sizes.select("_range", (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return rows.withColumn("_in", inside).join(before, "_range").withColumn(
+        name, (F.col("_before") + F.col("_in")).cast("int")).drop("_range", "_before", "_in")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     names: Sequence[str], mean: str | None = None) -> DataFrame:
-    """Exact interpolated quantiles per group, and the mean on request.
+    """Exact interpolated quantiles per group, and the mean on request; null values don't count.
 
-    A sketch of known rank error brackets each quantile. The second pass counts the values
-    below each bracket and keeps the distinct values inside it, some thousandths of a large group,
-    so no group is ever sorted as a whole. The brackets are staged: for as many groups as fit
-    under the broadcast limit the rows are not shuffled before they are counted.
+    Equal values are counted before anything is moved, and the distinct ones are written in
+    ranges of (keys, value). Counts per range tell which ranges hold the wanted ranks, and only
+    these are sorted, each as a group of its own. A group of any size follows the same route,
+    and no window spans more than a range.
     """
     shown, keys = list(keys), list(keys)
     if not keys:
         # One group over everything still joins on a key, never as a product.
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     data = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    accuracy = 10_000
-    margin = 5.0 / accuracy
-    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
-    shape = data.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), accuracy).alias("_near"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.count("_v").alias("_n"), F.avg("_v").alias("_mean"),
-    )
-    # The margin is counted in ranks of the group, so it says too little about a small one,
-    # which is bracketed whole.
-    whole = F.array(*[F.col(c) for _ in probs for c in ("_min", "_max")])
-    brackets = staged(shape.withColumn(
-        "_ends", F.when(F.col("_n") <= SMALL_GROUP, whole).otherwise(F.col("_near"))
-    ).drop("_near", "_min", "_max"), "brackets")
-
-    v = F.col("_v")
-    sides = [
-        F.when(v < F.col("_ends")[2 * i], F.struct(F.lit(i).alias("i"), F.lit(None).cast(df.schema[value].dataType).alias("v")))
-        .when(v <= F.col("_ends")[2 * i + 1], F.struct(F.lit(i).alias("i"), v.alias("v")))
-        for i in range(len(probs))
-    ]
-    counted = (
-        data.join(brackets.select(*keys, "_ends"), keys)
-        .select(*keys, F.explode(F.array(*sides)).alias("_s"))
-        .filter(F.col("_s").isNotNull())
-        .groupBy(*keys, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    # Nulls sort first, so the count below a bracket opens the running total.
-    rising = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_v"))
-    ranked = counted.withColumn("_end", F.sum("_c").over(rising)).withColumn(
-        "_start", F.col("_end") - F.col("_c"))
-    position = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
+    counts = data.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranged = in_ranges(counts, [F.asc(k) for k in keys] + [F.asc("_v")], "ranged-values")
+    along = Window.partitionBy(*keys).orderBy("_range")
+    sizes = ranged.groupBy(*keys, "_range").agg(F.sum("_c").alias("_in"))
+    sizes = sizes.withColumn("_before", F.sum("_in").over(along) - F.col("_in")).withColumn(
+        "_n", F.sum("_in").over(Window.partitionBy(*keys)))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    targets = sizes.withColumn("_w", wanted).withColumn("_rank", (F.col("_n") - 1) * F.col("_w.p")).filter(
+        (F.ceil("_rank") >= F.col("_before")) & (F.floor("_rank") < F.col("_before") + F.col("_in")))
+    needed = targets.select(*keys, "_range", "_before").distinct()
+    rising = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.join(needed, [*keys, "_range"]).withColumn("_end", F.col("_before") + F.sum("_c").over(rising)).select(
+        *keys, "_range", "_v", (F.col("_end") - F.col("_c")).alias("_start"), "_end")
 
     def at(rank: Column) -> Column:
-        hit = (rank >= F.col("_start")) & (rank < F.col("_end"))
-        return F.max(F.when(hit, v))
-
-    low, high = at(F.floor(position)), at(F.ceil(position))
-    weight = F.max(position - F.floor(position))
-    per_prob = ranked.join(brackets.select(*keys, "_n", "_mean"), keys).groupBy(*keys, "_i").agg(
-        (low + (high - low) * weight).alias("_q"), F.max("_mean").alias("_mean"))
-    result = per_prob.groupBy(*keys).agg(
-        *([F.max("_mean").alias(mean)] if mean else []),
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_v")))
+
+    low, high = at(F.floor("_rank")), at(F.ceil("_rank"))
+    weight = F.max(F.col("_rank") - F.floor("_rank"))
+    per_prob = placed.join(targets.select(*keys, "_range", F.col("_w.i").alias("_i"), "_rank"), [*keys, "_range"]).groupBy(
+        *keys, "_i").agg((low + (high - low) * weight).alias("_q"))
+    result = per_prob.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    if mean:
+        result = result.join(data.groupBy(*keys).agg(F.avg("_v").alias(mean)), keys)
     return result.select(*shown, *([mean] if mean else []), *names)

@@ -131,38 +131,38 @@ def weekly_defect_trend(spark, sf):
     return present(trends.weekly_trend(D.inspections(spark, sf), THRESHOLD))
 
 
-@query("weekly_trend_by_batch_date", with_parts("watched dimb", """
+@query("weekly_trend_by_batch_date", with_parts("insp dimball", """
 SELECT supplier_id, CAST(date_trunc('week', production_date) AS DATE)::VARCHAR AS production_week,
        round(avg(CAST(defect_count AS DOUBLE) / greatest(units_inspected, 1)), 6) AS weekly_defect_rate,
        count(*) AS inspections, CAST(sum(units_inspected) AS BIGINT) AS total_units_inspected,
        CAST(sum(defect_count) AS BIGINT) AS total_defects,
        avg(CAST(defect_count AS DOUBLE) / greatest(units_inspected, 1)) >= 0.038 AS above_threshold
-FROM watched JOIN (SELECT batch_id, supplier_id, production_date FROM dimb) USING (batch_id, supplier_id)
+FROM insp JOIN (SELECT batch_id, supplier_id, production_date FROM dimball) USING (batch_id, supplier_id)
 GROUP BY 1, 2"""))
 def weekly_trend_by_batch_date(spark, sf):
-    return present(trends.weekly_trend(D.watched(spark, sf), THRESHOLD, D.dim_batch(spark, sf)))
+    return present(trends.weekly_trend(D.inspections(spark, sf), THRESHOLD, D.dim_batch(spark, sf, since=None)))
 
 
 @query("lot_defect_rates", with_parts("lotrates", """
 SELECT lot_id, supplier_id, round(mean_defect_rate, 6) AS mean_defect_rate, round(max_defect_rate, 6) AS max_defect_rate,
        batch_count, total_units, above_threshold FROM lotrates"""))
 def lot_defect_rates(spark, sf):
-    return present(trends.lot_rates(D.batch_quality(spark, sf), THRESHOLD))
+    return present(trends.lot_rates(D.batch_quality(spark, sf, since=None), THRESHOLD))
 
 
 @query("top_lots", with_parts("lotrates", """
 SELECT lot_id, supplier_id, round(mean_defect_rate, 6) AS mean_defect_rate, batch_count FROM lotrates
 ORDER BY lotrates.mean_defect_rate DESC, lot_id LIMIT 15"""))
 def top_lots(spark, sf):
-    rates = trends.lot_rates(D.batch_quality(spark, sf), THRESHOLD)
+    rates = trends.lot_rates(D.batch_quality(spark, sf, since=None), THRESHOLD)
     return present(trends.top_lots(rates), "lot_id", "supplier_id", "mean_defect_rate", "batch_count")
 
 
-@query("lot_master", with_parts("dimb", """
+@query("lot_master", with_parts("dimball", """
 SELECT material_lot AS lot_id, supplier_id, count(*) AS batch_count, CAST(sum(unit_count) AS BIGINT) AS total_units,
-       CAST(min(production_date) AS VARCHAR) AS first_batch_production_date FROM dimb GROUP BY 1, 2"""))
+       CAST(min(production_date) AS VARCHAR) AS first_batch_production_date FROM dimball GROUP BY 1, 2"""))
 def lot_master(spark, sf):
-    return present(trends.lot_master(D.dim_batch(spark, sf)))
+    return present(trends.lot_master(D.dim_batch(spark, sf, since=None)))
 
 
 @query("fleet_signal", with_parts("hist risk", """
@@ -192,7 +192,7 @@ def first_crossing_supplier(spark, sf):
 SELECT line_id, month, batches_produced, total_units, round(avg_defects_per_inspection, 6) AS avg_defects_per_inspection,
        max_defects, fail_inspections FROM cond"""))
 def production_conditions(spark, sf):
-    return present(trends.production_conditions(D.dim_batch(spark, sf), D.watched(spark, sf)))
+    return present(D.production_conditions(spark, sf))
 
 
 @query("detection_run_status", with_parts("alerts", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotwatch.functions.ranking import latest_per_key
+from lotwatch.functions.ranking import global_rank, latest_per_key
 from lotwatch.operators import detection, lookups, reports, rootcause, trends
 from lotwatch.plans.present import present
 from lotwatch.plans.registry import query
@@ -22,9 +22,7 @@ UNION ALL SELECT sha256('run-1|A-03|' || batch_id), 'A-03', batch_id, supplier_i
 
 
 def _escalations(spark, sf):
-    # A gate above the lowest hypothesis confidence, so that both kinds of case occur.
-    strict = rootcause.RootCauseParams(min_confidence=0.65)
-    return rootcause.escalations(D.alerts(spark, sf), D.findings(spark, sf), strict, D.RUN_ID, AT)
+    return rootcause.escalations(D.alerts(spark, sf), D.findings(spark, sf), D.RCA, D.RUN_ID, AT)
 
 
 def _run(df):
@@ -49,7 +47,7 @@ def _evidence(spark, sf):
     flagged = D.alerts(spark, sf).filter(F.col("alert_status") == "FLAGGED")
     return rootcause.evidence(
         flagged, rootcause.supplier_trend(D.history(spark, sf), D.RCA), detection.lot_sizes(batches),
-        trends.production_conditions(batches, D.watched(spark, sf)), D.lot_rates(spark, sf), D.RCA)
+        D.production_conditions(spark, sf), D.lot_rates(spark, sf), D.RCA)
 
 
 @query("evidence_bundle", with_parts("finds trend6 dimb cond lotrates", """
@@ -84,14 +82,41 @@ def rca_findings(spark, sf):
                    "evidence_sources", "confidence_tier")
 
 
-@query("ranked_hypotheses", with_parts("finds", """
-SELECT batch_id, 1 AS rank, top_confidence AS confidence, 3 AS evidence_items FROM finds
-UNION ALL SELECT batch_id, 2, heat_conf, 3 FROM finds WHERE has_seam AND has_heat"""))
+part("bundle", "finds trend6 dimb cond lotrates", """
+SELECT f.*, contains(evidence_sources, 'supplier_history') AS asked_supplier, contains(evidence_sources, 'material_lot') AS asked_lot,
+       contains(evidence_sources, 'production_conditions') AS asked_line,
+       CASE WHEN asked_supplier THEN t.months_on_record END AS months, CASE WHEN asked_lot THEN s.n END AS lot_n,
+       CASE WHEN asked_line THEN c.batches_produced END AS line_n, r.batch_count AS rated
+FROM finds f LEFT JOIN trend6 t USING (supplier_id)
+LEFT JOIN (SELECT material_lot, count(*) AS n FROM dimb GROUP BY 1) s USING (material_lot)
+LEFT JOIN cond c ON c.line_id = f.line_id AND c.month = strftime(f.production_date, '%Y-%m')
+LEFT JOIN lotrates r ON r.lot_id = f.material_lot AND r.supplier_id = f.supplier_id""")
+
+
+@query("data_gaps", with_parts("bundle", """
+SELECT batch_id, concat_ws('; ',
+  CASE WHEN months IS NULL THEN 'supplier_history: ' || CASE WHEN asked_supplier THEN 'no record' ELSE 'not consulted' END END,
+  CASE WHEN lot_n IS NULL THEN 'material_lot: ' || CASE WHEN asked_lot THEN 'no record' ELSE 'not consulted' END END,
+  CASE WHEN line_n IS NULL THEN 'production_conditions: ' || CASE WHEN asked_line THEN 'no record' ELSE 'not consulted' END END,
+  CASE WHEN rated IS NULL THEN 'lot_rate: no record' END) AS data_gaps
+FROM bundle"""))
+def data_gaps(spark, sf):
+    return D.findings(spark, sf).select("batch_id", F.concat_ws("; ", "data_gaps").alias("data_gaps"))
+
+
+@query("ranked_hypotheses", with_parts("bundle", """
+SELECT batch_id, 1 AS rank, top_confidence AS confidence,
+       CASE WHEN has_seam THEN 'hold_lot' WHEN has_heat THEN 'check_press' ELSE 'inspect_batch' END AS action,
+       2 * (months IS NOT NULL)::INT + (lot_n IS NOT NULL)::INT + 2 * (line_n IS NOT NULL)::INT + (rated IS NOT NULL)::INT AS evidence_items
+FROM bundle
+UNION ALL SELECT batch_id, 2, heat_conf, 'check_press',
+       2 * (months IS NOT NULL)::INT + (lot_n IS NOT NULL)::INT + 2 * (line_n IS NOT NULL)::INT + (rated IS NOT NULL)::INT
+FROM bundle WHERE has_seam AND has_heat"""))
 def ranked_hypotheses(spark, sf):
     rows = D.findings(spark, sf).select("batch_id", F.explode("hypotheses").alias("h"))
     return present(rows.select(
         "batch_id", F.col("h.rank").alias("rank"), F.col("h.confidence_score").alias("confidence"),
-        F.size("h.supporting_evidence").alias("evidence_items")))
+        F.col("h.recommended_action").alias("action"), F.size("h.supporting_evidence").alias("evidence_items")))
 
 
 @query("lot_traceability", with_parts("trace", """
@@ -105,14 +130,11 @@ def lot_traceability(spark, sf):
 
 @query("traceability_listing", with_parts("trace", """
 SELECT lot_id, is_defective, round(mean_defect_rate, 5) AS mean_defect_rate,
-       row_number() OVER (ORDER BY is_defective DESC, trace.mean_defect_rate DESC, lot_id) AS place
-FROM trace QUALIFY place <= 50"""))
+       row_number() OVER (ORDER BY is_defective DESC, round(trace.mean_defect_rate, 9) DESC, lot_id) AS place
+FROM trace"""))
 def traceability_listing(spark, sf):
-    order = [F.desc("is_defective"), F.desc("mean_defect_rate"), "lot_id"]
-    top = D.traceability(spark, sf).orderBy(*order).limit(50)
-    place = F.row_number().over(rootcause.Window.orderBy(*order))
-    return present(top.select("lot_id", "is_defective", F.round("mean_defect_rate", 5).alias("mean_defect_rate"),
-                              place.alias("place")))
+    listed = global_rank(D.traceability(spark, sf), [F.desc("is_defective"), F.round("mean_defect_rate", 9).desc(), F.asc("lot_id")], "place")
+    return present(listed.select("lot_id", "is_defective", F.round("mean_defect_rate", 5).alias("mean_defect_rate"), "place"))
 
 
 @query("detection_hours", with_parts("trace", """
@@ -131,8 +153,9 @@ def finding_distribution(spark, sf):
 
 
 @query("rca_run_status", with_parts("finds", """
-SELECT count(*) AS batches_investigated, count(*) AS rca_complete, 0 AS rca_low_confidence,
-       max(top_confidence) AS max_top_confidence, 'COMPLETE' AS rca_status FROM finds"""))
+SELECT count(*) AS batches_investigated, count(*) FILTER (top_confidence >= 0.65) AS rca_complete,
+       count(*) FILTER (top_confidence < 0.65) AS rca_low_confidence, round(coalesce(max(top_confidence), 0), 4) AS max_top_confidence,
+       CASE WHEN max(top_confidence) >= 0.65 THEN 'COMPLETE' ELSE 'INSUFFICIENT_EVIDENCE' END AS rca_status FROM finds"""))
 def rca_run_status(spark, sf):
     return present(rootcause.run_status(D.findings(spark, sf), D.RCA))
 

@@ -163,6 +163,6 @@ def display_formats(spark, sf):
 WITH x AS (SELECT o_orderkey, o_orderstatus || ',' || substr(o_orderpriority, 3) || ',' || o_orderstatus AS raw, o_orderstatus AS a, substr(o_orderpriority, 3) AS b FROM orders)
 SELECT o_orderkey, CASE WHEN a = b THEN a ELSE a || ',' || b END AS items FROM x""")
 def distinct_in_order(spark, sf):
-    a, b = F.col("o_orderstatus"), F.substring("o_orderpriority", 3, 100)
+    a, b = F.col("o_orderstatus"), F.expr("substring(o_orderpriority, 3)")
     return D.table(spark, sf, "orders").select(
         "o_orderkey", F.array_join(F.array_distinct(F.array(a, b, a)), ",").alias("items"))

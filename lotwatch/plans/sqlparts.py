@@ -50,8 +50,12 @@ SELECT supplier_id, line_id, CAST(date_trunc('month', inspection_date) AS DATE)
        CAST(sum(units_inspected) AS BIGINT) AS units_inspected,
        avg(CAST(defect_count AS DOUBLE) / units_inspected) AS defect_rate,
        CAST(sum(defect_count) AS BIGINT) AS defects_found
-FROM insp WHERE inspection_date < DATE '1998-01-01' AND line_id <> 'L7'
+FROM insp WHERE inspection_date < DATE '1998-01-01'
 GROUP BY 1, 2, 3""")
+part("dimball", "insp", """
+SELECT batch_id, min(supplier_id) AS supplier_id, min(line_id) AS line_id, min(material_lot) AS material_lot,
+       CAST(sum(units_inspected) AS BIGINT) AS unit_count, min(inspection_date) AS production_date
+FROM insp GROUP BY batch_id""")
 part("base", "hist", """
 SELECT supplier_id, line_id, round(avg(defect_rate), 5) AS mean_rate,
        round(coalesce(stddev_samp(defect_rate), 0), 5) AS std_rate,
@@ -77,6 +81,12 @@ FROM (SELECT batch_id, supplier_id, line_id, avg(defect_count) AS avg_defect_cou
              CAST(sum(units_inspected) AS BIGINT) AS unit_count, min(material_lot) AS material_lot,
              min(inspection_date) AS production_date
       FROM watched WHERE units_inspected >= 10 GROUP BY batch_id, supplier_id, line_id)""")
+part("bqall", "insp", """
+SELECT *, avg_defect_count / avg_units_inspected AS observed_defect_rate
+FROM (SELECT batch_id, supplier_id, line_id, avg(defect_count) AS avg_defect_count,
+             avg(units_inspected) AS avg_units_inspected, CAST(sum(units_inspected) AS BIGINT) AS unit_count,
+             min(material_lot) AS material_lot
+      FROM insp WHERE units_inspected >= 10 GROUP BY batch_id, supplier_id, line_id)""")
 part("btypes", "typed", """
 SELECT batch_id, list_sort(list(DISTINCT defect_type)) AS defect_types
 FROM typed WHERE inspection_date >= DATE '1998-01-01' AND units_inspected >= 10 GROUP BY batch_id""")
@@ -101,11 +111,11 @@ SELECT batch_id, supplier_id, line_id, round(observed_defect_rate, 6) AS observe
        risk_tier AS supplier_risk_tier, fail_count AS fail_inspections, avg_defect_count,
        material_lot, production_date, mean_rate, std_rate
 FROM scored""")
-part("lotrates", "bq", """
+part("lotrates", "bqall", """
 SELECT material_lot AS lot_id, supplier_id, avg(observed_defect_rate) AS mean_defect_rate,
        max(observed_defect_rate) AS max_defect_rate, count(*) AS batch_count,
        CAST(sum(unit_count) AS BIGINT) AS total_units, avg(observed_defect_rate) >= 0.038 AS above_threshold
-FROM bq GROUP BY 1, 2""")
+FROM bqall GROUP BY 1, 2""")
 part("weekly", "insp", """
 SELECT supplier_id, CAST(date_trunc('week', inspection_date) AS DATE) AS production_week,
        avg(CAST(defect_count AS DOUBLE) / greatest(units_inspected, 1)) AS weekly_defect_rate,
@@ -122,14 +132,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY supplier_id ORDER BY month DESC)
              count(*) OVER (PARTITION BY supplier_id) AS months
       FROM (SELECT supplier_id, month, avg(defect_rate) AS rate FROM hist GROUP BY 1, 2))
 WHERE n <= 6 GROUP BY supplier_id""")
-part("cond", "dimb watched", """
+part("cond", "dimball insp", """
 SELECT line_id, strftime(production_date, '%Y-%m') AS month, count(*) AS batches_produced,
        CAST(sum(unit_count) AS BIGINT) AS total_units,
        CAST(sum(defects) AS DOUBLE) / sum(n) AS avg_defects_per_inspection, max(most) AS max_defects,
        CAST(coalesce(sum(fails), 0) AS BIGINT) AS fail_inspections
-FROM dimb LEFT JOIN (SELECT batch_id, count(*) AS n, sum(defect_count) AS defects, max(defect_count) AS most,
+FROM dimball LEFT JOIN (SELECT batch_id, count(*) AS n, sum(defect_count) AS defects, max(defect_count) AS most,
                             count(*) FILTER (pass_fail = 'FAIL') AS fails
-                     FROM watched GROUP BY batch_id) USING (batch_id)
+                     FROM insp GROUP BY batch_id) USING (batch_id)
 GROUP BY 1, 2""")
 part("sourcemap", "", """
 SELECT * FROM (VALUES ('seam_bulge', 1, 'production_conditions'), ('seam_bulge', 2, 'material_lot'),
@@ -152,11 +162,11 @@ part("finds", "alerts btypes trend6 sources", """
 SELECT *, CASE WHEN has_seam THEN seam_conf WHEN has_heat THEN heat_conf ELSE 0.61::DOUBLE END AS top_confidence,
        round(CASE WHEN has_seam AND has_heat THEN (seam_conf + heat_conf) / 2 WHEN has_seam THEN seam_conf
                   WHEN has_heat THEN heat_conf ELSE 0.61::DOUBLE END, 4) AS overall_confidence,
-       CASE WHEN has_seam THEN 'Seam tape adhesive of lot ' || material_lot || ' delaminates under load'
-            WHEN has_heat THEN 'Heat-transfer film pressed outside its temperature or pressure window'
-            ELSE 'Line process drift, possibly linked to lot ' || material_lot END AS top_hypothesis,
+       CASE WHEN has_seam THEN 'material/' || material_lot WHEN has_heat THEN 'pressing/' || line_id
+            ELSE 'process/' || line_id END AS top_hypothesis,
        CASE WHEN has_seam AND has_heat THEN 2 ELSE 1 END AS hypothesis_count,
-       'COMPLETE' AS rca_status,
+       CASE WHEN (CASE WHEN has_seam THEN seam_conf WHEN has_heat THEN heat_conf ELSE 0.61 END) >= 0.65
+            THEN 'COMPLETE' ELSE 'COMPLETE_LOW_CONFIDENCE' END AS rca_status,
        CASE WHEN (CASE WHEN has_seam THEN seam_conf WHEN has_heat THEN heat_conf ELSE 0.61 END) >= 0.70
             THEN 'HIGH' ELSE 'MEDIUM' END AS confidence_tier
 FROM (SELECT a.*, evidence_sources, defect_types,
@@ -167,19 +177,20 @@ FROM (SELECT a.*, evidence_sources, defect_types,
       FROM alerts a JOIN btypes USING (batch_id) LEFT JOIN trend6 USING (supplier_id)
                     LEFT JOIN sources USING (batch_id)
       WHERE alert_status = 'FLAGGED')""")
-part("lotmeta", "watched", """
+part("lotmeta", "insp", """
 SELECT material_lot AS lot_id, min(supplier_id) AS supplier_id, 'bonded_seam_tape' AS material_type,
        CAST(min(inspection_date) AS TIMESTAMP) AS entered_production_date,
        CAST(count(*) FILTER (pass_fail = 'FAIL') AS DOUBLE) / count(*) > 0.4 AS is_defective,
        date_diff('day', min(inspection_date), min(inspection_date) FILTER (pass_fail = 'FAIL')) * 24.0::DOUBLE AS hours_to_first_alert
-FROM watched GROUP BY 1""")
+FROM insp GROUP BY 1""")
 part("trace", "finds lotrates lotmeta", """
 SELECT f.lot_id, f.supplier_id, m.material_type, m.entered_production_date, m.is_defective,
        f.cause AS defect_root_cause, m.hours_to_first_alert, coalesce(r.mean_defect_rate, f.rate) AS mean_defect_rate,
-       coalesce(r.batch_count, 1) AS batch_count, f.batches_flagged, f.rca_top_confidence, 'COMPLETE' AS rca_status
+       coalesce(r.batch_count, 1) AS batch_count, f.batches_flagged, f.rca_top_confidence, f.rca_status
 FROM (SELECT material_lot AS lot_id, arg_min(supplier_id, batch_id) AS supplier_id,
              arg_min(top_hypothesis, batch_id) AS cause, arg_min(observed_defect_rate, batch_id) AS rate,
-             arg_min(top_confidence, batch_id) AS rca_top_confidence, count(*) AS batches_flagged
+             arg_min(top_confidence, batch_id) AS rca_top_confidence, arg_min(rca_status, batch_id) AS rca_status,
+             count(*) AS batches_flagged
       FROM finds GROUP BY 1) f
 LEFT JOIN lotrates r USING (lot_id, supplier_id) LEFT JOIN lotmeta m USING (lot_id)""")
 part("sales", "", """

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "lotwatch", master: str | None = None,
                   input_bytes: int | None = None, **conf: str) -> SparkSession:
     """Session with the library's defaults; ``input_bytes`` sizes the shuffles for the data,
-    at about 128 MB a partition up to 50,000 (AQE merges what turns out smaller)."""
+    at about 128 MB a partition (AQE merges what turns out smaller)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -23,7 +23,7 @@ def build_session(app: str = "lotwatch", master: str | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if input_bytes:
-        partitions = min(max(200, -(-input_bytes // (128 * 1024 * 1024))), 50_000)
+        partitions = max(1, -(-input_bytes // (128 * 1024 * 1024)))
         defaults["spark.sql.shuffle.partitions"] = str(partitions)
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -1,7 +1,7 @@
 """The quality model bound to the order-line tables, for checks and benchmarks.
 
-An order line stands for one inspection; the date 1998-01-01 parts the history from the
-batches under watch. Line L7 opened on that date, so it has no history.
+An order line stands for one inspection. For alerting, the date 1998-01-01 parts the history
+from the batches under watch; everything else reads all lines.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from lotwatch.session import staged, stored
 CUTOVER = "1998-01-01"
 LINES = tuple(f"L{i}" for i in range(1, 8))
 PARAMS = DetectionParams(min_units=10)
-RCA = RootCauseParams()
+# A gate above the lowest hypothesis confidence, so that doubtful findings occur.
+RCA = RootCauseParams(min_confidence=0.65)
 RISK = RiskParams()
 RUN_ID = "run-1"
 
@@ -84,16 +85,16 @@ def watched(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFr
     return inspections(spark, sf_dir, since=CUTOVER, with_type=with_type)
 
 
-def dim_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches under watch with units, lot and first production date."""
-    return watched(spark, sf_dir).groupBy("batch_id", "supplier_id", "line_id", "material_lot").agg(
+def dim_batch(spark: SparkSession, sf_dir: str, since: str | None = CUTOVER) -> DataFrame:
+    """Batches, by default those under watch, with units, lot and first production date."""
+    return inspections(spark, sf_dir, since=since).groupBy("batch_id", "supplier_id", "line_id", "material_lot").agg(
         F.sum("units_inspected").alias("unit_count"),
         F.min("inspection_date").alias("production_date"),
     )
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inspections(spark, sf_dir, before=CUTOVER).filter(F.col("line_id") != "L7")
+    rows = inspections(spark, sf_dir, before=CUTOVER)
     return rows.groupBy(
         "supplier_id", "line_id", F.trunc("inspection_date", "month").alias("month")
     ).agg(
@@ -182,7 +183,7 @@ def lot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours to alert run from its first inspection to its first failed one."""
     fail = F.col("pass_fail") == "FAIL"
     first_fail = F.min(F.when(fail, F.col("inspection_date")))
-    return watched(spark, sf_dir).groupBy(F.col("material_lot").alias("lot_id"), "supplier_id").agg(
+    return inspections(spark, sf_dir).groupBy(F.col("material_lot").alias("lot_id"), "supplier_id").agg(
         F.lit("bonded_seam_tape").alias("material_type"),
         F.min("inspection_date").cast("timestamp").alias("entered_production_date"),
         (F.count_if(fail) / F.count(F.lit(1)) > 0.4).alias("is_defective"),
@@ -191,9 +192,10 @@ def lot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def batch_quality(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFrame:
-    """Batch aggregate with the metadata carried along: one scan, one shuffle."""
-    return detection.batch_quality(watched(spark, sf_dir, with_type), PARAMS, carry={
+def batch_quality(spark: SparkSession, sf_dir: str, with_type: bool = False,
+                  since: str | None = CUTOVER) -> DataFrame:
+    """Batch aggregate, by default of those under watch, with the metadata carried along."""
+    return detection.batch_quality(inspections(spark, sf_dir, since=since, with_type=with_type), PARAMS, carry={
         "unit_count": F.sum("units_inspected"), "production_date": F.min("inspection_date"),
     }, extra_keys=["material_lot"], type_domain=list(DEFECT_TYPES.values()))
 
@@ -217,8 +219,7 @@ def compute_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = alerts(spark, sf_dir).filter(F.col("alert_status") == "FLAGGED")
     bundle = rootcause.evidence(
         flagged, rootcause.supplier_trend(hist, RCA), detection.lot_sizes(batches),
-        trends.production_conditions(batches, watched(spark, sf_dir)),
-        trends.lot_rates(batch_quality(spark, sf_dir), PARAMS.rate_threshold), RCA)
+        production_conditions(spark, sf_dir), lot_rates(spark, sf_dir), RCA)
     return rootcause.findings(bundle, RCA)
 
 
@@ -226,9 +227,13 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "rca_findings", lambda: compute_findings(spark, sf_dir))
 
 
+def production_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.production_conditions(dim_batch(spark, sf_dir, since=None), inspections(spark, sf_dir))
+
+
 def lot_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "lot_defect_rates", lambda: trends.lot_rates(
-        batch_quality(spark, sf_dir), PARAMS.rate_threshold))
+        batch_quality(spark, sf_dir, since=None), PARAMS.rate_threshold))
 
 
 def traceability(spark: SparkSession, sf_dir: str) -> DataFrame:
