@@ -21,9 +21,19 @@ def missing_columns(df: DataFrame, feed: LandingFeed) -> list[str]:
     return [c for c in feed.required if c not in df.columns]
 
 
-def reject_file(df: DataFrame, missing: Sequence[str]) -> DataFrame:
-    """Every row of a file that lacks required columns, with the reason."""
-    return df.withColumn("error_reason", F.lit(f"Missing required columns: {sorted(missing)}"))
+def missing_reason(missing: Column) -> Column:
+    """Reason for rows of a file that lacks the required columns ``missing``, else null."""
+    listed = F.array_join(F.array_sort(missing), "', '")
+    return F.when(F.size(missing) > 0, F.concat(F.lit("Missing required columns: ['"), listed, F.lit("']")))
+
+
+def file_lacks(df: DataFrame, feed: LandingFeed, file_columns: str = "file_columns") -> Column:
+    """Required columns that the frame or the row's own file lacks."""
+    lacking = F.array(*[F.lit(c) for c in missing_columns(df, feed)]).cast("array<string>")
+    if file_columns in df.columns:
+        required = F.array(*[F.lit(c) for c in feed.required])
+        lacking = F.array_union(lacking, F.array_except(required, F.col(file_columns)))
+    return lacking
 
 
 def coercion_error(df: DataFrame, types: dict[str, str]) -> Column:

@@ -10,7 +10,7 @@ from lotwatch.params import Domains, IngestParams
 from lotwatch.plans.present import present
 from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
-from lotwatch.plans.stages import RunParams, assess
+from lotwatch.plans.stages import RunParams, assess, ingest
 from lotwatch.schemas import FEED_BY_STEM
 from lotwatch.session import scratch_path
 from lotwatch.sources import export, feeds, landing, tables
@@ -130,6 +130,13 @@ def ingest_log(spark, sf):
         F.sum("rows_written").alias("rows_written"), F.sum("rows_quarantined").alias("rows_quarantined")))
 
 
+RULED_REASON = f"""coalesce({_TYPE_REASON}, nullif(array_to_string(list_filter([
+  CASE WHEN defect_count < 0 THEN 'defect_count:negative' END,
+  CASE WHEN pass_fail NOT IN ('PASS', 'REVIEW', 'FAIL') THEN 'valid_pass_fail' END,
+  CASE WHEN defect_count > units_inspected THEN 'defect_count_le_units' END,
+  CASE WHEN units_inspected < 10 THEN 'min_units_inspected' END], lambda x: x IS NOT NULL), ', '), ''))"""
+
+
 @query("missing_column_file", "SELECT 'Missing required columns: [''pass_fail'']' AS error_reason, count(*) AS row_count FROM lineitem")
 def missing_column_file(spark, sf):
     rows = landing.read_csv(spark, feeds.qc_folder(spark, sf)).drop("pass_fail")
@@ -137,6 +144,39 @@ def missing_column_file(spark, sf):
     return rejected.groupBy("error_reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("mixed_headers", with_parts("qct", """
+SELECT flag, count(*) AS row_count, CAST(sum(units_inspected) AS BIGINT) AS units, CAST(sum(defect_count) AS BIGINT) AS defects,
+       count(*) FILTER (flag = 'R') AS short_rows, CASE WHEN flag = 'R' THEN 'QUARANTINED' ELSE 'OK' END AS status
+FROM qct GROUP BY flag"""))
+def mixed_headers(spark, sf):
+    """A full, a reordered and a short file in one folder: each read by its own header."""
+    rows = assess(landing.read_csv(spark, f"{feeds.mixed_folder(spark, sf)}/*"), QC, RunParams(domains=DOMAINS))
+    log = tables.ingest_log(rows.withColumn("is_bad", F.col("error_reason").isNotNull()), QC.table, D.RUN_ID, AT)
+    flag = F.regexp_extract("source_path", "/([ANR])/[^/]*$", 1).alias("flag")
+    totals = rows.groupBy(flag).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("units_inspected").alias("units"), F.sum("defect_count").alias("defects"),
+        F.count_if(F.col("error_reason") == "Missing required columns: ['pass_fail']").alias("short_rows"))
+    return totals.join(log.groupBy(flag).agg(F.max("status").alias("status")), "flag")
+
+
+@query("redelivered_keys", with_parts("qct", f"""
+SELECT 'run-' || CASE WHEN defect_count % 2 = 0 THEN 2 ELSE 1 END AS run_id, count(*) AS row_count,
+       CAST(sum(units_inspected + CASE WHEN defect_count % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS units
+FROM qct WHERE {RULED_REASON} IS NULL GROUP BY 1"""))
+def redelivered_keys(spark, sf):
+    """A second run delivers the rows of even defect counts again, one unit higher: they
+    replace the first run's."""
+    root = scratch_path(spark, "redelivery")
+    raw = landing.read_csv(spark, feeds.qc_folder(spark, sf)).drop("flag")
+    ingest(raw, QC, root, "run-1", AT, RunParams(domains=DOMAINS))
+    good = tables.read_table(spark, f"{root}/silver/{QC.table}", "defect_count % 2 = 0").drop("run_id", "ingested_at")
+    again = good.withColumns({c: F.col(c).cast("string") for c in QC.types}).withColumn(
+        "units_inspected", (F.col("units_inspected") + 1).cast("string"))
+    ingest(again, QC, root, "run-2", AT, RunParams(domains=DOMAINS))
+    return tables.read_table(spark, f"{root}/silver/{QC.table}").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("units_inspected").alias("units"))
+
+
 @query("coerced_rows", with_parts("qct", """
 SELECT inspection_id, units_inspected, defect_count FROM qct WHERE defect_count IS NOT NULL AND units_inspected IS NOT NULL"""))
 def coerced_rows(spark, sf):
@@ -235,15 +275,8 @@ def file_gate(spark, sf):
         F.count(F.lit(1)).alias("row_count"), F.count_if(small).alias("invalid_rows"))
 
 
-_RULED_REASON = f"""coalesce({_TYPE_REASON}, nullif(array_to_string(list_filter([
-  CASE WHEN defect_count < 0 THEN 'defect_count:negative' END,
-  CASE WHEN pass_fail NOT IN ('PASS', 'REVIEW', 'FAIL') THEN 'valid_pass_fail' END,
-  CASE WHEN defect_count > units_inspected THEN 'defect_count_le_units' END,
-  CASE WHEN units_inspected < 10 THEN 'min_units_inspected' END], lambda x: x IS NOT NULL), ', '), ''))"""
-
-
 @query("assessed_rows", with_parts("qct", f"""
-SELECT inspection_id, {_RULED_REASON} AS error_reason FROM qct"""))
+SELECT inspection_id, {RULED_REASON} AS error_reason FROM qct"""))
 def assessed_rows(spark, sf):
     rows = landing.read_csv(spark, feeds.qc_folder(spark, sf))
     return assess(rows, QC, RunParams(domains=DOMAINS)).select("inspection_id", "error_reason")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lotwatch.operators import detection
 from lotwatch.plans.present import present
-from lotwatch.plans.q_ingest import AT, QC
+from lotwatch.plans.q_ingest import AT, DOMAINS, QC, RULED_REASON
 from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import with_parts
+from lotwatch.plans.stages import RunParams
 from lotwatch.session import scratch_path
 from lotwatch.sources import feeds
 from lotwatch.sources import testdata as D
@@ -29,16 +30,16 @@ def _events(spark, sf):
         F.lit(1).alias("units_inspected"))
 
 
-@query("stream_ingest", with_parts("qct", """
-SELECT 'bad_records' AS table_name, count(*) FILTER (defect_count IS NULL OR units_inspected IS NULL) AS row_count FROM qct
-UNION ALL SELECT 'fact_qc_inspections', count(*) FILTER (defect_count IS NOT NULL AND units_inspected IS NOT NULL) FROM qct
+@query("stream_ingest", with_parts("qct", f"""
+SELECT 'bad_records' AS table_name, count({RULED_REASON}) AS row_count FROM qct
+UNION ALL SELECT 'fact_qc_inspections', count(*) - count({RULED_REASON}) FROM qct
 UNION ALL SELECT 'logged', count(*) FROM qct"""))
 def stream_ingest(spark, sf):
     folder = scratch_path(spark, "stream-ingest")
     # The second pass finds no new file and must add nothing.
     for _ in range(2):
-        rows = live.landing_stream(spark, f"{feeds.qc_folder(spark, sf)}/flag=*", feeds.QC_COLUMNS)
-        live.ingest(rows, QC, folder, D.RUN_ID, AT).awaitTermination()
+        rows = live.landing_stream(spark, f"{feeds.qc_folder(spark, sf)}/flag=*")
+        live.ingest(rows, QC, folder, D.RUN_ID, AT, RunParams(domains=DOMAINS)).awaitTermination()
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
     count = lambda name: read(name).agg(
         F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))

@@ -17,10 +17,11 @@ from lotwatch.params import (
     ScenarioParams,
     SummaryParams,
 )
-from lotwatch.schemas import LandingFeed
+from lotwatch.functions.ranking import latest_per_key
+from lotwatch.schemas import LABEL_COLUMNS, LandingFeed
 from lotwatch.session import staged
-from lotwatch.sources.landing import strip_labels
-from lotwatch.sources.tables import ingest_log, write_run
+from lotwatch.sources.landing import FILE_COLUMNS, strip_labels
+from lotwatch.sources.tables import ingest_log, retire_keys, write_run
 
 
 @dataclass(frozen=True)
@@ -36,48 +37,66 @@ class RunParams:
 def assess(raw: DataFrame, feed: LandingFeed, params: RunParams) -> DataFrame:
     """Landing rows typed, with ``error_reason`` and the raw row kept for rejected ones.
 
-    Type errors come first, then the names of broken rules; a file with too many bad rows is
-    rejected whole.
+    Rows of a file without a required column are rejected whole. Else type errors come first,
+    then the names of broken rules; a file with too many bad rows is rejected whole too. Rates
+    per file come from a pass over the narrow columns that they need.
     """
-    columns = [c for c in raw.columns if c != "source_path"]
-    missing = V.missing_columns(raw, feed)
+    columns = [c for c in raw.columns if c not in ("source_path", FILE_COLUMNS)]
+    lacking = V.file_lacks(raw, feed)
+    absent = [F.lit(None).cast("string").alias(c) for c in V.missing_columns(raw, feed)]
     as_json = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    if missing:
-        return V.reject_file(raw, missing).withColumn("_payload", as_json)
-    typed = raw.withColumns({
-        "_payload": as_json, "_type_error": V.coercion_error(raw, feed.types),
-    }).withColumns({c: V._CASTS[k](c) for c, k in feed.types.items() if c in columns})
+    marked = raw.select("*", *absent).withColumns({"_payload": as_json, "_lacking": V.missing_reason(lacking)})
+    typed = marked.withColumn("_type_error", V.coercion_error(marked, feed.types)).withColumns(
+        {c: V._CASTS[k](c) for c, k in feed.types.items() if c in marked.columns})
     rules = {
         **V.not_null_rules(feed.not_null), **V.range_rules(columns),
         **V.business_rules(feed.stem, params.domains),
     }
     broken = V.failed_rules(rules)
-    reason = F.coalesce("_type_error", F.when(F.size(broken) > 0, F.array_join(broken, ", ")))
-    checked = typed.withColumn("error_reason", reason).drop("_type_error")
-    checked = staged(checked.withColumn(
-        "_payload", F.when(F.col("error_reason").isNotNull(), F.col("_payload"))), "assessed")
+    reason = F.coalesce("_lacking", "_type_error", F.when(F.size(broken) > 0, F.array_join(broken, ", ")))
+    checked = typed.withColumn("error_reason", reason).drop("_type_error", "_lacking", FILE_COLUMNS)
     gated = V.gate_files(checked, F.col("error_reason").isNotNull(), params.ingest)
     held = F.when(F.col("file_quarantined"), F.lit("File held back: too many invalid rows"))
-    return gated.withColumns({
-        "error_reason": F.coalesce("error_reason", held),
-        "_payload": F.coalesce("_payload", F.when(F.col("file_quarantined"), as_json)),
-    }).drop("file_quarantined")
+    gated = gated.withColumn("error_reason", F.coalesce("error_reason", held)).drop("file_quarantined")
+    return gated.withColumn("_payload", F.when(F.col("error_reason").isNotNull(), F.col("_payload")))
 
 
-def ingest(raw: DataFrame, feed: LandingFeed, root: str, run_id: str, at: Column | str,
-           params: RunParams) -> None:
-    """Write good rows, rejected rows and the file log of one feed."""
-    rows = assess(raw, feed, params)
+@dataclass(frozen=True)
+class Assessed:
+    """The three outputs of a landing: typed rows by key, rejected rows, and the file log."""
+
+    good: DataFrame
+    bad: DataFrame
+    log: DataFrame
+
+
+def split(rows: DataFrame, feed: LandingFeed, run_id: str, at: Column | str) -> Assessed:
+    """Outputs of assessed rows. Labels are taken off where they are not the feed's own; of a
+    key that came more than once, the row of the last file stays."""
     is_bad = F.col("error_reason").isNotNull()
     good = strip_labels(rows.filter(~is_bad).drop("error_reason", "_payload"),
-                        () if feed.stem == "material_lots" else ("is_defective", "lot_is_defective"))
+                        () if feed.stem == "material_lots" else LABEL_COLUMNS)
     bad = rows.filter(is_bad).select(
         F.col("_payload").alias("payload"), "error_reason",
         F.col("source_path").alias("source_file"), F.lit(feed.table).alias("table_name"))
     log = ingest_log(rows.withColumn("is_bad", is_bad), feed.table, run_id, at).drop("run_id", "ingested_at")
-    write_run(good, f"{root}/silver/{feed.table}", run_id, at, "ingested_at")
-    write_run(bad, f"{root}/silver/bad_records/{feed.table}", run_id, at, "quarantined_at")
-    write_run(log, f"{root}/silver/ingest_log/{feed.table}", run_id, at, "ingested_at")
+    return Assessed(latest_per_key(good, feed.key, ["source_path"]), bad, log)
+
+
+def ingest(raw: DataFrame, feed: LandingFeed, root: str, run_id: str, at: Column | str,
+           params: RunParams) -> None:
+    """Write good rows, rejected rows and the file log of one feed.
+
+    A key that an earlier run stored is taken from that run, so the newest delivery stays.
+    """
+    rows = assess(raw, feed, params).persist()
+    out = split(rows, feed, run_id, at)
+    table = f"{root}/silver/{feed.table}"
+    write_run(out.good, table, run_id, at, "ingested_at")
+    retire_keys(rows.sparkSession, table, feed.key, run_id)
+    write_run(out.bad, f"{root}/silver/bad_records/{feed.table}", run_id, at, "quarantined_at")
+    write_run(out.log, f"{root}/silver/ingest_log/{feed.table}", run_id, at, "ingested_at")
+    rows.unpersist()
 
 
 @dataclass(frozen=True)
@@ -152,7 +171,9 @@ def write_gold(gold: Gold, root: str, run_id: str, at: Column | str) -> None:
     """Store a run; repeating it leaves identical tables."""
     for name, df in gold.tables().items():
         lean = df.drop("run_id") if "run_id" in df.columns else df
-        write_run(lean, f"{root}/gold/{name}", run_id, at)
+        # Trend and lot rates cover all runs' rows, so a run replaces them whole.
+        mode = "overwrite" if name in ("weekly_defect_trend", "lot_defect_rates") else "append"
+        write_run(lean, f"{root}/gold/{name}", run_id, at, mode=mode)
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -76,6 +76,21 @@ def qc_folder(spark: SparkSession, sf_dir: str) -> str:
     return landed(spark, sf_dir, "qc_inspection_logs", write)
 
 
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One landing drop under three headers: full, in another order, and without a required
+    column; by return flag A, N and R."""
+    moved = [c for c in QC_COLUMNS if c not in ("units_inspected", "defect_count")]
+    variants = {"A": list(QC_COLUMNS), "N": ["defect_count", "units_inspected", *moved[::-1]],
+                "R": [c for c in QC_COLUMNS if c != "pass_fail"]}
+
+    def write(path: str) -> None:
+        for flag, columns in variants.items():
+            qc_rows(spark, sf_dir).filter(F.col("flag") == flag).select(*columns).write.option("header", True).option(
+                "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{flag}")
+
+    return landed(spark, sf_dir, "qc_mixed", write)
+
+
 def customer_arrays(spark: SparkSession, sf_dir: str) -> str:
     """Customers as files that hold one JSON array each, ten thousand keys to a file."""
     def write(path: str) -> None:

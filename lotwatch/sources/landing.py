@@ -2,22 +2,57 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwatch.schemas import FEEDS, LABEL_COLUMNS
 
-SUPPORTED_SUFFIXES = (".csv", ".json")
+# Names of the columns that the row's own file has.
+FILE_COLUMNS = "file_columns"
 
 
 def with_source(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_path"))
 
 
+def headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The distinct headers of CSV files, and the files under each. Only file names and headers
+    reach the driver, as they do when Spark lists the files."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("start")).filter("start = 0")
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    first = F.min_by("value", "at").alias("header")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("file").agg(first).collect():
+        columns = tuple(next(csv.reader([row["header"].rstrip("\r")]), ()))
+        found.setdefault(columns, []).append(unquote(row["file"]))
+    return found
+
+
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header; every column a string, so bad values reach the quarantine."""
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    return with_source(reader.csv(path))
+    """CSV files with a header each; every column a string, so bad values reach the quarantine.
+
+    Columns go by the header of the file they are in, whatever their order; what a file lacks
+    is null. ``file_columns`` names what it has, for the check of required columns.
+    """
+    parts = []
+    variants = headers(spark, path)
+    for columns, files in sorted(variants.items()):
+        ddl = ", ".join("`{}` STRING".format(c.replace("`", "``")) for c in columns)
+        reader = spark.read.schema(ddl).option("header", True).option("enforceSchema", True)
+        if isinstance(path, str) and not set("*?[{") & set(path):
+            reader = reader.option("basePath", path)
+        names = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+        # One header for all: the folder is read as it is, without a list of its files.
+        rows = reader.csv(path if len(variants) == 1 else sorted(files))
+        parts.append(with_source(rows).withColumn(FILE_COLUMNS, names))
+    if not parts:
+        return spark.createDataFrame([], f"source_path STRING, {FILE_COLUMNS} ARRAY<STRING>")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_json(spark: SparkSession, path: str | list[str], columns: list[str],

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from lotwatch.functions.ranking import latest_per_key
 from lotwatch.schemas import GOLD, SILVER
+from lotwatch.session import staged
 
 
 def with_lineage(df: DataFrame, run_id: str, at: Column | str, time_column: str) -> DataFrame:
@@ -33,6 +34,26 @@ def write_run(df: DataFrame, path: str, run_id: str, at: Column | str,
     )
 
 
+def retire_keys(spark: SparkSession, path: str, keys: Sequence[str], run_id: str) -> None:
+    """Take the keys of run ``run_id`` out of all other runs of a table.
+
+    Only partitions of runs that hold such a key are written anew, one partition replaced at a
+    time; a run that keeps no row loses its partition. Repeating the call changes nothing.
+    """
+    table = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    newest = table.filter(F.col("run_id") == run_id).select(*keys)
+    older = table.filter(F.col("run_id") != run_id)
+    hit = [r["run_id"] for r in older.join(newest, list(keys), "left_semi").select("run_id").distinct().collect()]
+    if not hit:
+        return
+    kept = staged(older.filter(F.col("run_id").isin(hit)).join(newest, list(keys), "left_anti"), "kept-rows")
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    left = {r["run_id"] for r in kept.select("run_id").distinct().collect()}
+    for run in sorted(set(hit) - left):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id={run}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str, filter_expr: str | Column | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df if filter_expr is None else df.filter(filter_expr)

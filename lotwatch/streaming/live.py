@@ -3,45 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lotwatch.operators import detection
-from lotwatch.operators.validation import coerce
 from lotwatch.params import DetectionParams
+from lotwatch.plans.stages import RunParams, assess, split
 from lotwatch.schemas import LandingFeed
-from lotwatch.sources.landing import with_source
-from lotwatch.sources.tables import ingest_log, quarantine
+from lotwatch.sources.landing import read_csv, with_source
+from lotwatch.sources.tables import with_lineage
 
 
-def landing_stream(spark: SparkSession, folder: str, columns: Sequence[str],
-                   glob: str = "*.csv") -> DataFrame:
-    ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    reader = spark.readStream.schema(ddl).option("header", True).option("pathGlobFilter", glob)
-    return with_source(reader.csv(folder))
+def landing_stream(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """New landing files as text; ``ingest`` reads each by its own header."""
+    reader = spark.readStream.option("pathGlobFilter", glob)
+    return with_source(reader.text(folder)).select("source_path")
 
 
 def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: Column | str,
-           available_now: bool = True, interval: str = "15 minutes") -> StreamingQuery:
-    """Ingest each landing file exactly once.
+           params: RunParams, available_now: bool = True, interval: str = "15 minutes") -> StreamingQuery:
+    """Ingest each landing file exactly once, by the checks of the batch stage.
 
     The file-source checkpoint remembers the files; every micro-batch overwrites its own
-    ``batch_id`` folder, so a batch replayed after a failure leaves the same rows.
+    ``batch_id`` folder, so a batch replayed after a failure leaves the same rows. Rows are
+    assessed once per batch and kept for its three outputs.
     """
 
-    def land(rows: DataFrame, batch_id: int) -> None:
-        good, bad = coerce(rows, feed.types)
-        flagged = good.select("source_path", F.lit(False).alias("is_bad")).unionByName(
-            bad.select("source_path", F.lit(True).alias("is_bad")))
+    def land(files: DataFrame, batch_id: int) -> None:
+        spark = files.sparkSession
+        paths = [unquote(r["source_path"]) for r in files.distinct().collect()]
+        if not paths:
+            return
+        rows = assess(read_csv(spark, sorted(paths)), feed, params).persist()
+        out = split(rows, feed, run_id, at)
         outputs = {
-            feed.table: good,
-            "bad_records": quarantine(bad, run_id=run_id, at=at),
-            "ingest_log": ingest_log(flagged, feed.table, run_id, at),
+            feed.table: with_lineage(out.good, run_id, at, "ingested_at"),
+            "bad_records": with_lineage(out.bad, run_id, at, "quarantined_at"),
+            "ingest_log": with_lineage(out.log, run_id, at, "ingested_at"),
         }
         for name, df in outputs.items():
             df.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+        rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(land).option(
         "checkpointLocation", f"{folder}/_checkpoint")

@@ -5,6 +5,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from lotwatch.schemas import FEED_BY_STEM
+from lotwatch.params import IngestParams
+from lotwatch.plans.stages import RunParams
 from lotwatch.streaming import live
 
 QC = FEED_BY_STEM["qc_inspection_logs"]
@@ -16,7 +18,8 @@ def drop_file(folder, name, units):
         writer = csv.writer(f)
         writer.writerow(COLUMNS)
         for i, u in enumerate(units):
-            record = dict.fromkeys(COLUMNS, "x") | {"inspection_id": f"{name}-{i}", "units_inspected": u, "defect_count": "1"}
+            record = dict.fromkeys(COLUMNS, "x") | {"inspection_id": f"{name}-{i}", "units_inspected": u, "defect_count": "1",
+                                                     "pass_fail": "PASS"}
             writer.writerow([record[c] for c in COLUMNS])
 
 
@@ -25,8 +28,8 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     landing.mkdir()
 
     def run():
-        rows = live.landing_stream(spark, str(landing), COLUMNS)
-        live.ingest(rows, QC, out, "r", "2024-01-01").awaitTermination()
+        rows = live.landing_stream(spark, str(landing))
+        live.ingest(rows, QC, out, "r", "2024-01-01", RunParams(ingest=IngestParams(file_failure_rate=0.6))).awaitTermination()
         count = lambda t: spark.read.parquet(f"{out}/{t}").count()
         return count(QC.table), count("bad_records"), count("ingest_log")
 
@@ -35,6 +38,15 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert run() == (1, 1, 1)
     drop_file(landing, "b.csv", ["20", "30"])
     assert run() == (3, 1, 2)
+    # Columns in another order are read by name; a file without a required one is held back.
+    (landing / "c.csv").write_text(",".join(COLUMNS[::-1]) + "\n" + ",".join(
+        {"inspection_id": "c", "units_inspected": "40", "defect_count": "2", "pass_fail": "PASS"}.get(c, "x") for c in COLUMNS[::-1]) + "\n")
+    (landing / "d.csv").write_text("inspection_id,units_inspected\nd,50\n")
+    assert run() == (4, 2, 4)
+    row = spark.read.parquet(f"{out}/{QC.table}").filter("inspection_id = 'c'").first()
+    assert (row.units_inspected, row.defect_count) == (40, 2)
+    reasons = {r.error_reason for r in spark.read.parquet(f"{out}/bad_records").collect()}
+    assert any("'pass_fail'" in r for r in reasons)
 
 
 EVENT = "supplier_id string, ts timestamp, defect_count int, units_inspected int"
