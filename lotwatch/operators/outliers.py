@@ -16,15 +16,16 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwatch.functions.ranking import exact_quantiles
 from lotwatch.params import DetectionParams
 from lotwatch.session import materialize
 
 # Workers get these functions by value, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Levels of a tree: the logarithm of the usual sample of 256 rows.
 DEPTH = 8
 INNER = 2**DEPTH - 1
-SAMPLE = 2**DEPTH
 HASH_RANGE = 2**31
 _TREE_SCHEMA = "tree INT, feature ARRAY<INT>, cut ARRAY<DOUBLE>, leaf ARRAY<DOUBLE>"
 
@@ -84,28 +85,23 @@ def forest_score(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, leaf: np.n
     return np.exp2(-paths / (len(leaf) * _mean_path(sample_size)))
 
 
-def fit(df: DataFrame, key: str, features: list[str], trees: int = 100, seed: int = 42) -> Forest:
-    """Grow the forest from a bounded, hash-chosen pool of rows.
+def fit(df: DataFrame, key: str, features: list[str], total: int, trees: int, sample: int,
+        seed: int = 42) -> Forest:
+    """Grow the forest, each tree from the ``sample`` rows with the smallest hash of (key, tree).
 
-    One hash per row keeps about as many rows as all trees need together; each tree then takes
-    the 256 pool rows with the smallest hash of (key, tree). What is shuffled does not grow
-    with the table.
+    Every row of the table is a candidate for every tree. A hash threshold lets about twice the
+    sample through for each, so what is shuffled depends on the forest, not on the table.
     """
-    total = df.count()
-    pool_size = trees * SAMPLE
     row_hash = lambda t: F.pmod(F.xxhash64(F.col(key), t), F.lit(HASH_RANGE))
-    cut_at = lambda wanted, of: int(min(1.0, wanted / max(of, 1)) * HASH_RANGE)
-    pool = df.select(
-        key, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
-    ).filter(row_hash(F.lit(-1)) < cut_at(pool_size, total))
+    below = int(min(1.0, 2 * sample / max(total, 1)) * HASH_RANGE)
+    rows = df.select(key, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     ids = F.array(*[F.lit(t) for t in range(trees)])
-    candidates = cut_at(2 * SAMPLE, min(pool_size, total))
-    sampled = pool.withColumn(
-        "tree", F.explode(F.filter(ids, lambda t: row_hash(t) < candidates))
+    sampled = rows.withColumn(
+        "tree", F.explode(F.filter(ids, lambda t: row_hash(t) < below))
     ).withColumn("_h", row_hash(F.col("tree")))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_h", key]).head(SAMPLE)
+        group = group.sort_values(["_h", key]).head(sample)
         tree = int(group["tree"].iloc[0])
         rng = np.random.default_rng([seed, tree])
         feature, cut, leaf = grow_tree(group[features].to_numpy(dtype=float), rng)
@@ -117,12 +113,12 @@ def fit(df: DataFrame, key: str, features: list[str], trees: int = 100, seed: in
         np.array([r["feature"] for r in grown], dtype=np.int32),
         np.array([r["cut"] for r in grown]),
         np.array([r["leaf"] for r in grown]),
-        min(SAMPLE, total),
+        min(sample, total),
     )
 
 
 def score(df: DataFrame, forest: Forest, features: list[str]) -> DataFrame:
-    """Add ``outlier_score`` in (0, 1], rounded to six digits."""
+    """Add ``outlier_score`` in (0, 1]."""
     spark: SparkSession = df.sparkSession
     shared = spark.sparkContext.broadcast(
         (forest.feature, forest.cut, forest.leaf, forest.sample_size))
@@ -135,24 +131,18 @@ def score(df: DataFrame, forest: Forest, features: list[str]) -> DataFrame:
         return pd.Series(forest_score(points, *shared.value)[position.ravel()])
 
     inputs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
-    return df.withColumn("outlier_score", F.round(isolation(*inputs), 6))
+    return df.withColumn("outlier_score", isolation(*inputs))
 
 
-def score_cut(scores: DataFrame, contamination: float) -> float:
-    """Exact score quantile. Six-digit scores take at most a million values, so the counts
-    per value are a bounded input to the percentile whatever the number of batches."""
-    counts = scores.groupBy("outlier_score").agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.percentile("outlier_score", 1 - contamination, F.col("n"))).first()[0]
-
-
-def flag_outliers(batches: DataFrame, params: DetectionParams, trees: int = 100) -> DataFrame:
+def flag_outliers(batches: DataFrame, params: DetectionParams) -> DataFrame:
     """batch_id, outlier_score, is_outlier: the highest-scoring share of the batches."""
     features = ["observed_defect_rate", "fail_count"]
     points = materialize(batches.select("batch_id", *features))
-    if points.limit(params.min_outlier_rows).count() < params.min_outlier_rows:
+    total = points.count()
+    if total < params.min_outlier_rows:
         return points.select("batch_id", F.lit(0.0).alias("outlier_score"),
                              F.lit(False).alias("is_outlier"))
-    forest = fit(points, "batch_id", features, trees)
-    scores = materialize(score(points, forest, features).select("batch_id", "outlier_score"))
-    cut = score_cut(scores, params.contamination)
+    forest = fit(points, "batch_id", features, total, params.outlier_trees, params.outlier_sample)
+    scores = score(points, forest, features).select("batch_id", "outlier_score")
+    cut = exact_quantiles(scores, [], "outlier_score", [1 - params.contamination], ["cut"]).first()["cut"]
     return scores.withColumn("is_outlier", F.col("outlier_score") > cut)

@@ -15,6 +15,8 @@ class DetectionParams:
     rate_threshold: float = 0.038
     contamination: float = 0.1
     min_outlier_rows: int = 5
+    outlier_trees: int = 100
+    outlier_sample: int = 256
     default_tier: str = "UNKNOWN"
     default_composite: float = 0.8
 

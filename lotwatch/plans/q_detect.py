@@ -115,6 +115,21 @@ def outlier_screen(spark, sf):
     return outliers.flag_outliers(D.batch_quality(spark, sf), D.PARAMS)
 
 
+@query("outlier_invariants", with_parts("bq", """
+SELECT count(*) AS batches, count(*) AS scores_in_range, TRUE AS share_kept, TRUE AS cut_separates FROM bq"""))
+def outlier_invariants(spark, sf):
+    """What must hold of the screen whatever its random trees: every batch is scored within
+    (0, 1], at most the expected share is marked, and marked scores lie above all others."""
+    marked = F.col("is_outlier")
+    highest = F.coalesce(F.max(F.when(~marked, F.col("outlier_score"))), F.lit(0.0))
+    lowest = F.coalesce(F.min(F.when(marked, F.col("outlier_score"))), F.lit(1.0))
+    in_range = (F.col("outlier_score") > 0) & (F.col("outlier_score") <= 1)
+    return outlier_screen(spark, sf).agg(
+        F.count(F.lit(1)).alias("batches"), F.count_if(in_range).alias("scores_in_range"),
+        (F.count_if(marked) <= D.PARAMS.contamination * F.count(F.lit(1))).alias("share_kept"),
+        (lowest > highest).alias("cut_separates"))
+
+
 @query("alerts_with_outliers")
 def alerts_with_outliers(spark, sf):
     batches = D.batch_quality(spark, sf)
