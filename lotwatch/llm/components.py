@@ -45,35 +45,60 @@ def bucketed(postings: DataFrame) -> DataFrame:
     return postings.join(shared, "key")
 
 
+#: Rounds in which nodes of unsettled buckets meet further leaders, and leaders per bucket.
+ROUNDS, LEADERS = 3, 4
+
+
 def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of the nodes that share a bucket and link.
 
     ``members`` is a written table as of ``bucketed``, whose further columns describe the node.
     ``likely`` is a condition that all linked pairs fulfil, in these columns with ``a_`` or
-    ``b_`` before their names; ``verified`` picks from pairs (a, b) those that link. Every node
-    is compared with its buckets' leaders first. Nodes of a bucket that are then still in
-    different groups are compared pairwise. So a bucket of near copies costs one comparison per
-    member, and every link between what would be different groups is found.
+    ``b_`` before their names; ``verified`` picks from pairs (a, b) those that link.
+
+    Every node is compared with its buckets' leaders first. While many pairs of different groups
+    remain, their nodes meet a few other leaders, chosen by hash, for some rounds. Nodes of a
+    bucket that are then still in different groups are compared pairwise. So a bucket of near
+    copies costs a few comparisons per member, and every link between what would be different
+    groups is found.
     """
     about = [c for c in members.columns if c not in ("key", "node", "lo", "hi", "many")]
     named = members.select("node", *about).distinct()
     side = lambda df, x: df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns if c != "key"],
                                    *[c for c in df.columns if c == "key"])
-    leaders = members.select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a != b")
-    stars = (leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(side(named, "a"), "a").join(side(named, "b"), "b").where(likely).select("a", "b"))
-    stars = Written(stars, "stars").df
-    links = Written(verified(stars), "links").df
-    group = connected(links)
 
-    found = group.withColumnRenamed("node", "other")
-    busy = members.where("many > 2")
-    busy = busy.join(found, busy["node"] == found["other"], "left").select(
-        "key", "node", *about, F.coalesce("component", "node").alias("group")).distinct()
-    mixed = busy.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
-    rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
-    if rest.isEmpty():
-        return group
-    pairs = side(rest, "a").join(side(rest, "b"), "key").where(f"a < b and a_group != b_group and {likely}")
-    pairs = Written(pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "pairs").df
-    return connected(links.unionByName(verified(pairs)))
+    def meeting(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b) of two nodes that may link."""
+        pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return pairs.join(side(named, "a"), "a").join(side(named, "b"), "b").where(likely).select("a", "b")
+
+    leaders = members.select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
+    tried = Written(meeting(leaders), "stars").df
+    links = Written(verified(tried), "links").df
+    group = connected(links)
+    for turn in range(ROUNDS + 1):
+        found = group.withColumnRenamed("node", "other")
+        busy = members.where("many > 2")
+        busy = busy.join(found, busy["node"] == found["other"], "left").select(
+            "key", "node", *about, F.coalesce("component", "node").alias("group")).distinct()
+        mixed = busy.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
+        rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
+        share = rest.groupBy("key", "group").count().groupBy("key").agg(
+            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("inside"))
+        rows, pairs_left = share.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")).cast("double") / 2)).first()
+        if not rows:
+            return group
+        last = turn == ROUNDS or pairs_left <= 4 * LEADERS * rows
+        if last:
+            pairs = side(rest, "a").join(side(rest, "b"), "key").where(f"a < b and a_group != b_group and {likely}")
+            pairs = pairs.select("a", "b").distinct()
+        else:
+            order = [F.xxhash64("node", F.lit(turn * LEADERS + k), F.pmod("key", F.lit(2))) for k in range(LEADERS)]
+            chosen = rest.groupBy("key").agg(F.array(*[F.min_by("node", o) for o in order]).alias("leaders"))
+            pairs = meeting(rest.join(chosen, "key").select(F.col("node").alias("a"), F.explode("leaders").alias("b")))
+        pairs = Written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs").df
+        links = links.unionByName(Written(verified(pairs), "links").df)
+        tried = tried.unionByName(pairs)
+        group = connected(links)
+        if last:
+            return group
