@@ -46,8 +46,20 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[sc.applicationId]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables in the shared folder."""
+    return f"{shared_root(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; to be called when its results are stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _TABLES.clear()
 
 
 def materialize(df: DataFrame) -> DataFrame:

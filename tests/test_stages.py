@@ -63,3 +63,10 @@ def test_exports(spark, sf, tmp_path):
     for name, df in tables.items():
         assert spark.read.option("header", True).csv(f"{tmp_path}/{name}").count() == df.count()
     assert spark.read.json(f"{tmp_path}/_refresh").first().run_id == "run-1"
+
+
+def test_intermediate_tables_live_in_one_removable_folder(spark):
+    from lotwatch import session
+
+    path = session.scratch_path(spark, "x")
+    assert path.startswith(session.run_folder(spark)) and spark.sparkContext.applicationId in path
