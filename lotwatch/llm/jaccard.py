@@ -25,7 +25,7 @@ from lotwatch.llm.components import bucketed, grouped
 from lotwatch.llm.words import mix, shingle_sets
 
 #: Buckets of the frequency table by which shingles are ordered, and rows that it travels in.
-BUCKETS, PARTS = 1 << 21, 64
+BUCKETS, PARTS = 1 << 24, 64
 
 
 @dataclass(frozen=True)
@@ -106,6 +106,23 @@ def differing(x: bytes, y: bytes) -> int:
     return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as bytes; mostly empty ones as places and counts."""
+    at = np.flatnonzero(counts)
+    if 4 * len(at) < len(counts):
+        return b"s" + zlib.compress(np.concatenate([at.astype(np.uint32), counts[at]]).tobytes(), 1)
+    return b"d" + zlib.compress(counts.tobytes(), 1)
+
+
+def add_packed(total: np.ndarray, data: bytes) -> None:
+    values = np.frombuffer(zlib.decompress(data[1:]), np.uint32)
+    if data[:1] == b"s":
+        at, counts = np.split(values, 2)
+        total[at] += counts
+    else:
+        total += values
+
+
 def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
     """(_key, n, fp, sketch) per row; per task also its shingle counts by bucket as (part, counts)."""
     words, kind = params.words, docs.schema["_key"].dataType.simpleString()
@@ -115,13 +132,13 @@ def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
         total, key_type = np.zeros(BUCKETS, np.uint32), None
         for piece in slices(batches, "_text"):
             value, at, fp = sets_of(piece.column("_text"), words)
-            total += np.bincount((value & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
+            np.add.at(total, (value & np.uint64(BUCKETS - 1)).astype(np.int64), np.uint32(1))
             m, key_type = piece.num_rows, piece.column("_key").type
             yield pa.RecordBatch.from_arrays([
                 piece.column("_key"), pa.array(np.diff(at), pa.int64()), pa.array(fp),
                 pa.array(parity_sketches(value, at), pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if key_type is not None and total.any():
-            rows = [(p, zlib.compress(c.tobytes(), 1)) for p, c in enumerate(total.reshape(PARTS, -1)) if c.any()]
+            rows = [(p, packed(c)) for p, c in enumerate(total.reshape(PARTS, -1)) if c.any()]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
                 pa.nulls(len(rows), pa.binary()),
@@ -140,13 +157,13 @@ def frequency_levels(tables: DataFrame) -> np.ndarray:
     def add(rows: pa.Table) -> tuple[int, np.ndarray]:
         total = np.zeros(BUCKETS // PARTS, np.uint64)
         for c in rows.column("counts"):
-            total += np.frombuffer(zlib.decompress(c.as_py()), np.uint32)
+            add_packed(total, c.as_py())
         return rows.column("part")[0].as_py(), total
 
     def partial(rows: pa.Table) -> pa.Table:
         part, total = add(rows)
         total = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
-        return pa.table({"part": pa.array([part], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+        return pa.table({"part": pa.array([part], pa.int32()), "counts": pa.array([packed(total)], pa.binary())})
 
     def level(rows: pa.Table) -> pa.Table:
         part, total = add(rows)
@@ -164,7 +181,8 @@ def frequency_levels(tables: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardParams) -> DataFrame:
-    """(key, node, n): the subsets that light sets enumerate and the lists that sets stand in."""
+    """(key, node, n, pos): the subsets that light sets enumerate and the lists that sets stand
+    in, with the element's place in its set's order (0 for subsets)."""
     words, percent = params.words, params.percent
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -175,7 +193,7 @@ def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardPar
         order = np.lexsort((value, levels[(value & np.uint64(BUCKETS - 1)).astype(np.int64)], row))
         rank = np.arange(len(value)) - np.repeat(at[:-1], size)
         take = (rank < (size - -(-percent * size // 100) + 1)[row]) & listed[row]
-        keys, owners = [value[order][take]], [row[take]]
+        keys, owners, places = [value[order][take]], [row[take]], [rank[take]]
         for r in np.flatnonzero((size > 0) & (size <= light)):
             own = value[at[r]:at[r + 1]]
             for c in subset_sizes(int(size[r]), light, percent):
@@ -185,11 +203,13 @@ def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardPar
                     mixed = mix(mixed * np.uint64(5) + subsets[:, j])
                 keys.append(mixed)
                 owners.append(np.full(len(subsets), r))
+                places.append(np.zeros(len(subsets), np.int64))
         owner = np.concatenate(owners)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(fp[owner]),
-                                           pa.array(size[owner], pa.int64())], ["key", "node", "n"])
+                                           pa.array(size[owner], pa.int32()), pa.array(np.concatenate(places), pa.int32())],
+                                          ["key", "node", "n", "pos"])
 
-    return map_slices(docs, run, "key long, node long, n long", "_text")
+    return map_slices(docs, run, "key long, node long, n int, pos int", "_text")
 
 
 def sets(docs: DataFrame, wanted: DataFrame, params: JaccardParams) -> DataFrame:
@@ -264,7 +284,10 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
         return verified(pairs, elements, params.percent)
 
     near = f"100 * least(a_n, b_n) >= {params.percent} * greatest(a_n, b_n)"
-    group = grouped(members, near, check)
+    # The first element that linked sets share leaves both enough elements to share with it.
+    enough = f"{params.percent} * (a_n + b_n)"
+    first = " and ".join(f"{100 + params.percent} * ({x}_n - {x}_pos) >= {enough}" for x in "ab")
+    group = grouped(members, near, check, first)
 
     # The smallest key of each class, then of each group of classes.
     least = ids.groupBy("fp").agg(F.min("_key").alias("least")).join(group.withColumnRenamed("node", "fp"), "fp", "left")
