@@ -15,6 +15,7 @@ from lotwatch.params import (
 from lotwatch.plans.present import present
 from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
+from lotwatch.sources import export
 from lotwatch.sources import testdata as D
 
 PARAMS = ScenarioParams()
@@ -227,3 +228,29 @@ def table_row_counts(spark, sf):
         "defect_alerts": D.alerts(spark, sf), "weekly_defect_trend": D.weekly(spark, sf),
         "lot_defect_rates": D.lot_rates(spark, sf), "rca_findings": D.findings(spark, sf),
         "lot_defect_traceability": D.traceability(spark, sf), "supplier_defect_history": D.history(spark, sf)}))
+
+
+@query("risk_extract", with_parts("risk", """
+SELECT r.supplier_id, s_name AS supplier_name, r_name AS region, CAST(NULL AS VARCHAR) AS material_type,
+       CASE WHEN s_acctbal >= 6000 THEN 'TIER_1' WHEN s_acctbal >= 2000 THEN 'TIER_2' ELSE 'TIER_3' END AS contract_tier,
+       composite_risk_score, risk_tier, would_trigger_audit, '2024-02-01 00:00:00' AS scored_at
+FROM risk r JOIN supplier ON r.supplier_id = 'S' || s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey"""))
+def risk_extract(spark, sf):
+    rows = export.risk_extract(D.risk_scores(spark, sf), D.RISK.dimensions, D.dim_supplier(spark, sf), "2024-02-01 00:00:00")
+    return present(rows.drop(*D.RISK.dimensions))
+
+
+@query("roi_extract", with_parts("curves", """
+SELECT scenario, CAST(stage_sequence AS BIGINT) AS stage_sequence, stage_name, stage_cost_usd, cumulative_cost_usd, p10_cumulative_usd,
+       p90_cumulative_usd, savings_vs_reference, CAST(created_at AS VARCHAR) AS created_at FROM curves"""))
+def roi_extract(spark, sf):
+    return present(export.roi_extract(scenarios.roi_curves(D.stage_costs(spark, sf), PARAMS)))
+
+
+@query("traceability_extract", with_parts("trace", """
+SELECT lot_id, supplier_id, material_type, strftime(entered_production_date, '%Y-%m-%d %H:%M:%S') AS entered_production_date, is_defective,
+       defect_root_cause, hours_to_first_alert, round(mean_defect_rate, 5) AS mean_defect_rate, batch_count, batches_flagged,
+       round(rca_top_confidence, 3) AS rca_top_confidence, rca_status FROM trace"""))
+def traceability_extract(spark, sf):
+    return present(export.traceability_extract(D.traceability(spark, sf)))

@@ -46,10 +46,13 @@ def trend_extract(trend: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def risk_extract(scores: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
-    return scores.select(
-        "supplier_id", *dimensions, "composite_risk_score", "risk_tier", "would_trigger_audit"
-    )
+def risk_extract(scores: DataFrame, dimensions: tuple[str, ...], suppliers: DataFrame, at: Column | str) -> DataFrame:
+    """Scores with who the supplier is; what ``suppliers`` doesn't hold is null."""
+    known = {"supplier_name": "supplier_name", "region": "region", "material_type": "material_type", "contract_tier": "tier"}
+    about = [F.col(c).alias(n) if c in suppliers.columns else F.lit(None).cast("string").alias(n) for n, c in known.items()]
+    return scores.join(suppliers.select("supplier_id", *about), "supplier_id", "left").select(
+        "supplier_id", *known, *dimensions, "composite_risk_score", "risk_tier", "would_trigger_audit",
+        F.lit(at).cast("timestamp").alias("scored_at"))
 
 
 def traceability_extract(lots: DataFrame) -> DataFrame:
@@ -61,5 +64,5 @@ def traceability_extract(lots: DataFrame) -> DataFrame:
 def roi_extract(curves: DataFrame) -> DataFrame:
     return curves.select(
         "scenario", "stage_sequence", "stage_name", "stage_cost_usd", "cumulative_cost_usd",
-        "p10_cumulative_usd", "p90_cumulative_usd", "savings_vs_reference",
+        "p10_cumulative_usd", "p90_cumulative_usd", "savings_vs_reference", "created_at",
     )

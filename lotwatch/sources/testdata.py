@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lotwatch.operators import detection, reports, rootcause, trends
 from lotwatch.params import DetectionParams, RiskParams, RootCauseParams
-from lotwatch.session import staged, stored
+from lotwatch.session import stored
 
 CUTOVER = "1998-01-01"
 LINES = tuple(f"L{i}" for i in range(1, 8))
@@ -201,12 +201,9 @@ def batch_quality(spark: SparkSession, sf_dir: str, with_type: bool = False,
 
 
 def compute_alerts(spark: SparkSession, sf_dir: str, with_type: bool = True) -> DataFrame:
-    """Alerts from the raw lines. The batch aggregate feeds both the scores and the lot
-    averages, so it is staged; the baselines are staged to be joined by their true size."""
-    return detection.alerts(
-        staged(batch_quality(spark, sf_dir, with_type), "batch_quality"),
-        staged(detection.baselines(history(spark, sf_dir)), "baselines"),
-        risk_scores(spark, sf_dir), PARAMS)
+    """Alerts from the raw lines, as one plan; nothing runs until it is read."""
+    return detection.alerts(batch_quality(spark, sf_dir, with_type), detection.baselines(history(spark, sf_dir)),
+                            risk_scores(spark, sf_dir), PARAMS)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,8 @@ def test_file_without_a_required_column_is_held_back(spark, sf):
 def test_exports(spark, sf, tmp_path):
     tables = {
         "weekly_defect_trend": export.trend_extract(D.weekly(spark, sf), 0.038),
-        "supplier_risk_scores": export.risk_extract(D.risk_scores(spark, sf), D.RISK.dimensions),
+        "supplier_risk_scores": export.risk_extract(
+            D.risk_scores(spark, sf), D.RISK.dimensions, D.dim_supplier(spark, sf), AT),
         "lot_traceability": export.traceability_extract(D.traceability(spark, sf)),
         "rca_findings": D.findings(spark, sf),
     }
