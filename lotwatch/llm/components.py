@@ -49,12 +49,13 @@ def bucketed(postings: DataFrame) -> DataFrame:
 ROUNDS, LEADERS = 3, 4
 
 
-def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], DataFrame], here: str = "true") -> DataFrame:
+def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callable[[DataFrame], DataFrame],
+            here: str = "true") -> DataFrame:
     """Components of the nodes that share a bucket and link.
 
-    ``members`` is a written table as of ``bucketed``, whose further columns describe the node.
-    ``likely`` is a condition that all linked pairs fulfil, in these columns with ``a_`` or
-    ``b_`` before their names; ``verified`` picks from pairs (a, b) those that link. A column
+    ``members`` is a written table as of ``bucketed``, ``named`` one of nodes and columns that
+    describe them. ``likely`` is a condition that all linked pairs fulfil, in these columns with
+    ``a_`` or ``b_`` before their names; ``verified`` picks from pairs (a, b) those that link. A column
     ``pos`` describes a node's place in the bucket, and ``here`` is a condition on both places
     that every linked pair fulfils in at least one of its buckets.
 
@@ -64,9 +65,7 @@ def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], Dat
     copies costs a few comparisons per member, and every link between what would be different
     groups is found.
     """
-    about = [c for c in members.columns if c not in ("key", "node", "lo", "hi", "many", "pos")]
     spot = [c for c in members.columns if c == "pos"]
-    named = members.select("node", *about).distinct()
     side = lambda df, x: df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns if c != "key"],
                                    *[c for c in df.columns if c == "key"])
 
@@ -83,7 +82,7 @@ def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], Dat
         found = group.withColumnRenamed("node", "other")
         busy = members.where("many > 2")
         busy = busy.join(found, busy["node"] == found["other"], "left").select(
-            "key", "node", *about, *spot, F.coalesce("component", "node").alias("group")).distinct()
+            "key", "node", *spot, F.coalesce("component", "node").alias("group")).distinct()
         mixed = busy.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
         rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
         share = rest.groupBy("key", "group").count().groupBy("key").agg(
@@ -93,7 +92,8 @@ def grouped(members: DataFrame, likely: str, verified: Callable[[DataFrame], Dat
             return group
         last = turn == ROUNDS or pairs_left <= 4 * LEADERS * rows
         if last:
-            pairs = side(rest, "a").join(side(rest, "b"), "key").where(f"a < b and a_group != b_group and {likely} and {here}")
+            full = Written(rest.join(named, "node"), "rest").df
+            pairs = side(full, "a").join(side(full, "b"), "key").where(f"a < b and a_group != b_group and {likely} and {here}")
             pairs = pairs.select("a", "b").distinct()
         else:
             order = [F.xxhash64("node", F.lit(turn * LEADERS + k), F.pmod("key", F.lit(2))) for k in range(LEADERS)]

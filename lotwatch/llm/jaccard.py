@@ -181,7 +181,7 @@ def frequency_levels(tables: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardParams) -> DataFrame:
-    """(key, node, n, pos): the subsets that light sets enumerate and the lists that sets stand
+    """(key, node, pos): the subsets that light sets enumerate and the lists that sets stand
     in, with the element's place in its set's order (0 for subsets)."""
     words, percent = params.words, params.percent
 
@@ -206,10 +206,10 @@ def postings(docs: DataFrame, levels: np.ndarray, light: int, params: JaccardPar
                 places.append(np.zeros(len(subsets), np.int64))
         owner = np.concatenate(owners)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(fp[owner]),
-                                           pa.array(size[owner], pa.int32()), pa.array(np.concatenate(places), pa.int32())],
-                                          ["key", "node", "n", "pos"])
+                                           pa.array(np.concatenate(places), pa.int32())],
+                                          ["key", "node", "pos"])
 
-    return map_slices(docs, run, "key long, node long, n int, pos int", "_text")
+    return map_slices(docs, run, "key long, node long, pos int", "_text")
 
 
 def sets(docs: DataFrame, wanted: DataFrame, params: JaccardParams) -> DataFrame:
@@ -287,7 +287,8 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
     # The first element that linked sets share leaves both enough elements to share with it.
     enough = f"{params.percent} * (a_n + b_n)"
     first = " and ".join(f"{100 + params.percent} * ({x}_n - {x}_pos) >= {enough}" for x in "ab")
-    group = grouped(members, near, check, first)
+    classes = ids.where("n > 0").select(F.col("fp").alias("node"), "n").distinct()
+    group = grouped(members, classes, near, check, first)
 
     # The smallest key of each class, then of each group of classes.
     least = ids.groupBy("fp").agg(F.min("_key").alias("least")).join(group.withColumnRenamed("node", "fp"), "fp", "left")
