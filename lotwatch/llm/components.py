@@ -78,6 +78,7 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
     tried = Written(meeting(leaders), "stars").df
     links = Written(verified(tried), "links").df
     group = connected(links)
+    before = float("inf")
     for turn in range(ROUNDS + 1):
         found = group.withColumnRenamed("node", "other")
         busy = members.where("many > 2")
@@ -90,7 +91,9 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
         rows, pairs_left = share.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")).cast("double") / 2)).first()
         if not rows:
             return group
-        last = turn == ROUNDS or pairs_left <= 4 * LEADERS * rows
+        # Leaders are worth a round as long as the last one settled half of what was left.
+        last = turn == ROUNDS or pairs_left <= 4 * LEADERS * rows or pairs_left > before / 2
+        before = pairs_left
         if last:
             full = Written(rest.join(named, "node"), "rest").df
             pairs = side(full, "a").join(side(full, "b"), "key").where(f"a < b and a_group != b_group and {likely} and {here}")
