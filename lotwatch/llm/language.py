@@ -112,13 +112,14 @@ def solve(seen: np.ndarray, lang: list[str], params: LanguageParams) -> Language
     if not names:
         return LanguageModel([], np.zeros((PLACES, 0), np.float32), params.reject_below)
     lang = np.array(lang, object)
-    x = seen / np.sqrt(np.maximum(seen.sum(1, keepdims=True), 1))
+    x = seen.astype(np.float32)
+    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     marks = np.concatenate([np.flatnonzero(lang == n)[:params.landmarks] for n in names])
-    among, across = x[marks] @ x[marks].T, x @ x[marks].T
+    among, across = ((y @ x[marks].T).astype(float) for y in (x[marks], x))
     target = np.where(lang[:, None] == np.array(names, object)[None, :], 1.0, -1.0)
     alpha = np.linalg.solve(across.T @ across + params.ridge * len(x) * among + 1e-8 * np.eye(len(marks)),
                             across.T @ target)
-    return LanguageModel(names, (x[marks].T @ alpha).astype(np.float32), params.reject_below)
+    return LanguageModel(names, x[marks].T @ alpha.astype(np.float32), params.reject_below)
 
 
 def fit(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str = "text",
@@ -148,7 +149,7 @@ def fit(docs: DataFrame, params: LanguageParams = LanguageParams(), text: str =
     sample = map_slices(picked, bits, "lang string, at long, bits binary", "_text").dropDuplicates(["lang", "at"])
     sample = sorted((r.lang, r.at, bytes(r.bits)) for r in sample.collect())
     seen = np.unpackbits(np.frombuffer(b"".join(s[2] for s in sample), np.uint8)).reshape(-1, PLACES)
-    return solve(seen.astype(float), [s[0] for s in sample], params)
+    return solve(seen, [s[0] for s in sample], params)
 
 
 def classify(docs: DataFrame, model: LanguageModel, text: str = "text", key: str = "doc_id") -> DataFrame:
