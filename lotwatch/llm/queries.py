@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, jaccard, language, licenses, lines, quality, tokens, urls, vectors
+from lotwatch.llm import contamination, jaccard, language, licenses, lines, quality, rules, tokens, urls, vectors
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -211,3 +211,43 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least, vec_id) AS com
   coalesce(least, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
 """
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
+
+
+def rule_sql(rule: rules.Rule) -> str:
+    """The rule's name where the columns of statistics break it."""
+    sides = ([f"({rule.value}) < {rule.least}"] if rule.least is not None else []) + (
+        [f"({rule.value}) > {rule.most}"] if rule.most is not None else [])
+    return f"CASE WHEN {' OR '.join(sides)} THEN '{rule.name}' END"
+
+
+ORACLES["op13_quality_rules"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+win AS (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM split),
+again AS (SELECT row, i, count(*) OVER (PARTITION BY row, w[i], w[i + 1], w[i + 2]) AS uses FROM win),
+covered AS (
+  SELECT row, count(DISTINCT k) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS k FROM again WHERE uses > 1) GROUP BY row),
+stat AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    len(list_filter(l, lambda x: ltrim(x, ' ')[1] IN ('-', '*', '•'))) AS n_bullet_lines,
+    len(list_filter(l, lambda x: suffix(rtrim(x, ' '), '...') OR suffix(rtrim(x, ' '), '…'))) AS n_ellipsis_lines,
+    len(list_filter(w, lambda x: x IN (STOP))) AS n_stop_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+    len(regexp_extract_all(t, '\p{Lu}')) AS n_capitals, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (row)),
+judged AS (SELECT *, list_filter([BASE], lambda x: x IS NOT NULL) AS base, list_filter([REST], lambda x: x IS NOT NULL) AS rest FROM stat)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, len(base) > 0 AS base_failed,
+  len(base) + len(rest) = 0 AS kept, base || rest AS failed FROM judged
+""".replace("STOP", ", ".join(f"'{w}', '{w.capitalize()}'" for w in rules.STOP_WORDS)).replace(
+    "BASE", ", ".join(rule_sql(r) for r in rules.RULES if r.base)).replace(
+    "REST", ", ".join(rule_sql(r) for r in rules.RULES if not r.base))
