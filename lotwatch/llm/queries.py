@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.llm import contamination, jaccard, language, licenses, lines, quality, rules, tokens, urls, vectors
+from lotwatch.llm import contamination, infill, jaccard, language, licenses, lines, phrases, quality, rules, tokens, urls, vectors
 from lotwatch.llm.common import table
 from lotwatch.llm.mixing import Mix
 
@@ -213,6 +213,71 @@ FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
 """
 
 
+@query
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.infill(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLES["op11_infill"] = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+draw AS (
+  SELECT doc_id, t, n, ('0x' || x[1:8])::BIGINT % (n + 1) AS a, ('0x' || x[9:16])::BIGINT % (n + 1) AS b,
+    ('0x' || x[17:24])::BIGINT % 100 AS c, ('0x' || x[25:32])::BIGINT % 100 AS d FROM hashed),
+cut AS (
+  SELECT *, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, abs(a - b)) AS m, substr(t, greatest(a, b) + 1) AS s,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+      WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM draw)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+ORACLES["op12_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+split AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+run AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS k FROM spot),
+f AS (
+  SELECT lang, phrase, words, count(*) AS f
+  FROM (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k AS words FROM run) GROUP BY ALL HAVING count(*) >= 30),
+parted AS (SELECT lang, phrase, words, f, string_split(phrase, ' ') AS w FROM f),
+cut AS (
+  SELECT lang, phrase, words, f, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:words], ' ') AS y, k
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM parted WHERE words > 1)),
+rated AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
+scored AS (
+  SELECT lang, phrase, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r, min(score) AS score
+  FROM rated GROUP BY lang, phrase, a),
+within AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, f
+  FROM (SELECT *, unnest(range(1, words - k + 2)) AS i FROM (SELECT *, unnest(range(2, words)) AS k FROM parted WHERE words > 2))),
+kept AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM within q WHERE q.lang = s.lang AND q.phrase = s.phrase AND 100::HUGEINT * q.f >= 80::HUGEINT * s.a)),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).select(

@@ -48,7 +48,7 @@ def test_windows_sorted_as_they_are(spark):
 
 
 def test_clean_text_stays_and_columns_too(corpus):
-    clean = " ".join(f"The w{i}a of w{i}b was in w{i}c." for i in range(12))
+    clean = " ".join(f"The word{i}a of word{i}b was in word{i}c." for i in range(12))
     docs = corpus([clean, clean, clean.upper(), "### " * 60 + clean, "short", None])
     kept = rules.keep_passing(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1]
