@@ -264,6 +264,10 @@ def sorted_counts(params: PhraseParams):
 COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
 
 
+#: Beyond so many partitions a task takes several buckets, one after the other.
+MOST_PARTITIONS = 1 << 16
+
+
 class Phrases:
     """Counts of all frequent phrases of ``docs``, one word included: ``counts`` (lang, phrase,
     words, f) and ``totals`` (lang, n, all word occurrences).
@@ -283,7 +287,9 @@ class Phrases:
         frequent = marks(single.select("mark"))
         heavy = marks(single.where(F.col("f") >= params.heavy).select("mark"))
         n = self.totals.agg(F.sum("n")).first()[0] or 0
-        routed = suffixes(rows, frequent, heavy, max(1, -(-n // params.bucket)), params)
+        buckets = max(1, -(-n // params.bucket))
+        # As many partitions as buckets, whatever the session's number, so that tasks stay small.
+        routed = suffixes(rows, frequent, heavy, buckets, params).repartition(min(buckets, MOST_PARTITIONS), "bucket")
         longer = routed.groupBy("bucket").applyInArrow(sorted_counts(params), "lang string, phrase string, words int, f long")
         longer = longer.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= params.least)
         one = single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f")
