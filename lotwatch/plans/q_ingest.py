@@ -13,7 +13,7 @@ from lotwatch.plans.sqlparts import part, with_parts
 from lotwatch.plans.stages import RunParams, assess, ingest
 from lotwatch.schemas import FEED_BY_STEM
 from lotwatch.session import scratch_path
-from lotwatch.sources import export, feeds, landing, tables
+from lotwatch.sources import export, feeds, landing, tables, versions
 from lotwatch.sources import testdata as D
 
 QC = FEED_BY_STEM["qc_inspection_logs"]
@@ -159,24 +159,50 @@ def mixed_headers(spark, sf):
     return totals.join(log.groupBy(flag).agg(F.max("status").alias("status")), "flag")
 
 
-@query("redelivered_keys", with_parts("qct", f"""
-SELECT 'run-' || CASE WHEN defect_count % 2 = 0 THEN 2 ELSE 1 END AS run_id, count(*) AS row_count,
-       CAST(sum(units_inspected + CASE WHEN defect_count % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS units
-FROM qct WHERE {RULED_REASON} IS NULL GROUP BY 1"""))
+part("twice", "qc", feeds.REDELIVERED_SQL)
+# Good rows of both drops; of a key, the row of the last drop and file stays.
+part("ruled", "twice", f"SELECT *, {RULED_REASON} AS reason FROM twice")
+part("perkey", "ruled", """
+SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY delivery, inspection_id ORDER BY flag DESC, batch_id DESC,
+  supplier_id DESC, line_id DESC, inspection_date DESC, units_inspected DESC, defect_count DESC) AS n FROM ruled WHERE reason IS NULL) WHERE n = 1""")
+
+
+def redelivered(spark, sf):
+    """A first run, a second that delivers keys of the first again, and the first run repeated,
+    which must leave the second run's rows alone. Both queries below read the one table."""
+    def write(root):
+        folder = feeds.redelivered_folder(spark, sf)
+        for run, drop in (("run-1", "first"), ("run-2", "second"), ("run-1", "first")):
+            raw = landing.read_csv(spark, f"{folder}/{drop}").drop("flag")
+            ingest(raw, QC, root, run, AT, RunParams(domains=DOMAINS))
+
+    return f"{feeds.landed(spark, sf, 'redelivered-runs', write)}/silver/{QC.table}"
+
+
+@query("redelivered_keys", with_parts("perkey", """
+SELECT 'run-' || delivery AS run_id, count(*) AS row_count, CAST(sum(units_inspected) AS BIGINT) AS units FROM perkey
+WHERE delivery = 2 OR inspection_id NOT IN (SELECT inspection_id FROM perkey WHERE delivery = 2) GROUP BY 1"""))
 def redelivered_keys(spark, sf):
-    """A second run delivers the rows of even defect counts again, one unit higher: they
-    replace the first run's."""
-    root = scratch_path(spark, "redelivery")
-    raw = landing.read_csv(spark, feeds.qc_folder(spark, sf)).drop("flag")
-    ingest(raw, QC, root, "run-1", AT, RunParams(domains=DOMAINS))
-    good = tables.read_table(spark, f"{root}/silver/{QC.table}", "defect_count % 2 = 0").drop("run_id", "ingested_at")
-    again = good.withColumns({c: F.col(c).cast("string") for c in QC.types}).withColumn(
-        "units_inspected", (F.col("units_inspected") + 1).cast("string"))
-    ingest(again, QC, root, "run-2", AT, RunParams(domains=DOMAINS))
-    return tables.read_table(spark, f"{root}/silver/{QC.table}").groupBy("run_id").agg(
+    return tables.read_table(spark, redelivered(spark, sf)).groupBy("run_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("units_inspected").alias("units"))
 
 
+part("tally", "perkey", """
+SELECT count(*) FILTER (delivery = 1) AS one, count(*) FILTER (delivery = 2) AS two,
+  (SELECT count(*) FROM (SELECT inspection_id FROM perkey GROUP BY 1 HAVING count(*) = 2)) AS again,
+  (SELECT coalesce(string_agg(inspection_id, ',' ORDER BY inspection_id), '') FROM (
+     SELECT inspection_id FROM perkey GROUP BY 1 HAVING count(*) = 2 ORDER BY 1 LIMIT 20)) AS ids FROM perkey""")
+
+
+@query("ingest_commits", with_parts("tally", """
+SELECT 1::BIGINT AS version, 'run-1' AS run_id, one AS rows_written, 0::BIGINT AS duplicate_count, '' AS duplicate_ids, 0::BIGINT AS parts_read FROM tally
+UNION ALL SELECT 2, 'run-2', two, again, ids, 1 FROM tally
+UNION ALL SELECT 3, 'run-1', one - again, again, ids, 1 FROM tally"""))
+def ingest_commits(spark, sf):
+    """What each commit wrote, the keys it delivered again and the parts it had to read."""
+    return present(versions.history(spark, redelivered(spark, sf)).drop("committed_at"))
+
+
 @query("coerced_rows", with_parts("qct", """
 SELECT inspection_id, units_inspected, defect_count FROM qct WHERE defect_count IS NOT NULL AND units_inspected IS NOT NULL"""))
 def coerced_rows(spark, sf):

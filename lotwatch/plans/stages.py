@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +19,11 @@ from lotwatch.params import (
     SummaryParams,
 )
 from lotwatch.functions.ranking import latest_per_key
-from lotwatch.schemas import LABEL_COLUMNS, LandingFeed
+from lotwatch.schemas import LABEL_COLUMNS, LandingFeed, registered
 from lotwatch.session import staged
-from lotwatch.sources.landing import FILE_COLUMNS, strip_labels
-from lotwatch.sources.tables import ingest_log, retire_keys, write_run
+from lotwatch.sources import versions
+from lotwatch.sources.landing import FILE_COLUMNS, SOURCE_TIME, strip_labels
+from lotwatch.sources.tables import conform, ingest_log, write_run
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,7 @@ def assess(raw: DataFrame, feed: LandingFeed, params: RunParams) -> DataFrame:
     then the names of broken rules; a file with too many bad rows is rejected whole too. Rates
     per file come from a pass over the narrow columns that they need.
     """
-    columns = [c for c in raw.columns if c not in ("source_path", FILE_COLUMNS)]
+    columns = [c for c in raw.columns if c not in ("source_path", SOURCE_TIME, FILE_COLUMNS)]
     lacking = V.file_lacks(raw, feed)
     absent = [F.lit(None).cast("string").alias(c) for c in V.missing_columns(raw, feed)]
     as_json = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
@@ -70,33 +72,36 @@ class Assessed:
     log: DataFrame
 
 
-def split(rows: DataFrame, feed: LandingFeed, run_id: str, at: Column | str) -> Assessed:
+def split(rows: DataFrame, feed: LandingFeed, run_id: str, at: Column | str, files: Sequence[str] = ()) -> Assessed:
     """Outputs of assessed rows. Labels are taken off where they are not the feed's own; of a
-    key that came more than once, the row of the last file stays."""
+    key that came more than once, the row of the file written last stays. The log also lists
+    those of ``files`` that have no row."""
     is_bad = F.col("error_reason").isNotNull()
     good = strip_labels(rows.filter(~is_bad).drop("error_reason", "_payload"),
                         () if feed.stem == "material_lots" else LABEL_COLUMNS)
     bad = rows.filter(is_bad).select(
         F.col("_payload").alias("payload"), "error_reason",
         F.col("source_path").alias("source_file"), F.lit(feed.table).alias("table_name"))
-    log = ingest_log(rows.withColumn("is_bad", is_bad), feed.table, run_id, at).drop("run_id", "ingested_at")
-    return Assessed(latest_per_key(good, feed.key, ["source_path"]), bad, log)
+    log = ingest_log(rows.withColumn("is_bad", is_bad), feed.table, run_id, at, files=files).drop("run_id", "ingested_at")
+    order = [c for c in (SOURCE_TIME, "source_path") if c in good.columns]
+    return Assessed(latest_per_key(good, feed.key, order).drop(SOURCE_TIME), bad, log)
 
 
 def ingest(raw: DataFrame, feed: LandingFeed, root: str, run_id: str, at: Column | str,
-           params: RunParams) -> None:
-    """Write good rows, rejected rows and the file log of one feed.
+           params: RunParams, files: Sequence[str] = ()) -> versions.Version:
+    """Commit good rows, then write rejected rows and the file log of one feed.
 
-    A key that an earlier run stored is taken from that run, so the newest delivery stays.
+    A key that an earlier run stored is taken from that run, so the newest delivery stays. The
+    log comes last: files of a run that was killed count as new, and delivering them again
+    changes nothing. The commit tells how many keys were delivered again.
     """
     rows = assess(raw, feed, params).persist()
-    out = split(rows, feed, run_id, at)
-    table = f"{root}/silver/{feed.table}"
-    write_run(out.good, table, run_id, at, "ingested_at")
-    retire_keys(rows.sparkSession, table, feed.key, run_id)
+    out = split(rows, feed, run_id, at, files)
+    done = versions.merge(out.good, f"{root}/silver/{feed.table}", feed.key, run_id, at)
     write_run(out.bad, f"{root}/silver/bad_records/{feed.table}", run_id, at, "quarantined_at")
     write_run(out.log, f"{root}/silver/ingest_log/{feed.table}", run_id, at, "ingested_at")
     rows.unpersist()
+    return done
 
 
 @dataclass(frozen=True)
@@ -170,7 +175,7 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
 def write_gold(gold: Gold, root: str, run_id: str, at: Column | str) -> None:
     """Store a run; repeating it leaves identical tables."""
     for name, df in gold.tables().items():
-        lean = df.drop("run_id") if "run_id" in df.columns else df
+        lean = conform(df, registered(name))
         # Trend and lot rates cover all runs' rows, so a run replaces them whole.
         mode = "overwrite" if name in ("weekly_defect_trend", "lot_defect_rates") else "append"
         write_run(lean, f"{root}/gold/{name}", run_id, at, mode=mode)

@@ -83,7 +83,7 @@ FEED_BY_STEM = {feed.stem: feed for feed in FEEDS}
 # Ground-truth labels that must never reach the silver tables of the detector.
 LABEL_COLUMNS = ("is_defective", "lot_is_defective")
 
-# Table schemas as DDL text, lineage columns last.
+# Table schemas as DDL text, lineage columns last.
 _LINEAGE = "ingested_at TIMESTAMP, run_id STRING"
 _GOLD_LINEAGE = "created_at TIMESTAMP, run_id STRING"
 
@@ -131,6 +131,7 @@ _HYPOTHESES = (
     "ARRAY<STRUCT<rank: INT, hypothesis: STRING, confidence_score: DOUBLE,"
     " supporting_evidence: ARRAY<STRING>, recommended_action: STRING>>"
 )
+# Result tables.
 GOLD = {
     "defect_alerts": (
         "batch_id STRING, supplier_id STRING, line_id STRING, observed_defect_rate DOUBLE,"
@@ -179,6 +180,11 @@ GOLD = {
 }
 
 
+def registered(table: str) -> StructType:
+    """Columns of a registered table without its lineage, which the writer adds."""
+    return StructType([f for f in schema_of(table) if f.name not in ("run_id", "created_at", "ingested_at")])
+
+
 def schema_of(table: str) -> StructType:
     """Parsed schema of a registered table (needs an active session)."""
     return StructType.fromDDL({**SILVER, **GOLD}[table])

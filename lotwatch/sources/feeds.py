@@ -76,6 +76,46 @@ def qc_folder(spark: SparkSession, sf_dir: str) -> str:
     return landed(spark, sf_dir, "qc_inspection_logs", write)
 
 
+def _date_files(spark: SparkSession, folder: str, seconds: int) -> None:
+    """Set the times of a folder's files, so that the order of deliveries doesn't hang on the clock."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(place, True)
+    while files.hasNext():
+        fs.setTimes(files.next().getPath(), (1_704_067_200 + seconds) * 1000, -1)
+
+
+def qc_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inspections of every fifth batch once more, one unit higher where the units are a number."""
+    units = F.col("units_inspected")
+    higher = F.when(units.rlike("^[0-9]+$"), (units.try_cast("bigint") + 1).cast("string")).otherwise(units)
+    return qc_rows(spark, sf_dir).filter(F.substring("batch_id", 3, 20).cast("bigint") % 5 == 0).withColumn(
+        "units_inspected", higher)
+
+
+def redelivered_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Two drops, ``first`` with all inspections and ``second`` with those of every fifth batch
+    again. Files are dated by drop and flag."""
+    def write(path: str) -> None:
+        for i, (name, rows) in enumerate((("first", qc_rows(spark, sf_dir)), ("second", qc_again(spark, sf_dir)))):
+            rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+                "ignoreTrailingWhiteSpace", False).partitionBy("flag").csv(f"{path}/{name}")
+            for j, flag in enumerate("ANR"):
+                _date_files(spark, f"{path}/{name}/flag={flag}", 10 * i + j)
+
+    return landed(spark, sf_dir, "qc_redelivered", write)
+
+
+#: Rows of both drops, typed; part ``qc`` holds the rows of the first.
+REDELIVERED_SQL = """
+SELECT * EXCLUDE (units_inspected, defect_count), CAST(trunc(TRY_CAST(trim(units_inspected) AS DOUBLE)) AS BIGINT) AS units_inspected,
+       CAST(trunc(TRY_CAST(trim(defect_count) AS DOUBLE)) AS BIGINT) AS defect_count
+FROM (SELECT *, 1 AS delivery FROM qc UNION ALL
+  SELECT * REPLACE (CASE WHEN regexp_matches(units_inspected, '^[0-9]+$') THEN CAST(CAST(units_inspected AS BIGINT) + 1 AS VARCHAR)
+    ELSE units_inspected END AS units_inspected), 2 AS delivery FROM qc WHERE CAST(batch_id[3:] AS BIGINT) % 5 = 0)"""
+
+
 def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
     """One landing drop under three headers: full, in another order, and without a required
     column; by return flag A, N and R."""
@@ -204,3 +244,32 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(d AS STRING) AS total_defects", "concat('2024-01-0', v, ' 00:00:00') AS ingested_at",
         "'VALID' AS _ingest_status",
     )
+
+
+#: Files of one drop, which a trigger takes together.
+DROP_FILES = 2
+
+
+def deliver(rows: DataFrame, folder: str, drop: int, key: str) -> None:
+    """Write one drop of a stream, dated by its number so that triggers take drops in order."""
+    rows.repartition(DROP_FILES, key).write.mode("overwrite").parquet(f"{folder}/drop-{drop}")
+    _date_files(rows.sparkSession, f"{folder}/drop-{drop}", 10 * drop)
+
+
+def event_drops(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events in drops of six days. Of the first, every fiftieth comes a drop late, while its week
+    is still open, and the one after each of these comes last of all, when its week is closed."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    drop = F.floor((F.dayofmonth("ts") - 1) / 6)
+    moved = F.when((drop == 0) & (F.col("event_id") % 50 == 1), 1).when((drop == 0) & (F.col("event_id") % 50 == 2), 6).otherwise(drop)
+    return [events.filter(moved == d) for d in range(7)]
+
+
+ON_TIME_SQL = "SELECT * FROM events WHERE NOT (day(ts) <= 6 AND event_id % 50 = 2)"
+
+
+def arrival_drops(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Order lines by line number, two numbers to a drop and a day apart, so a lot's come in several."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("arrival", F.floor((F.col("l_linenumber") - 1) / 2).cast("int"))
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("arrival") * 86_400)
+    return [lines.filter(F.col("arrival") == d).withColumn("arrived_at", at) for d in range(4)]

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,23 +13,50 @@ from lotwatch.schemas import FEEDS, LABEL_COLUMNS
 
 # Names of the columns that the row's own file has.
 FILE_COLUMNS = "file_columns"
+# When the row's own file was written.
+SOURCE_TIME = "source_time"
 
 
 def with_source(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_path").alias("source_path"))
+    return df.select("*", F.col("_metadata.file_path").alias("source_path"),
+                     F.col("_metadata.file_modification_time").alias(SOURCE_TIME))
+
+
+#: Bytes of a file that may be read to find its header.
+HEADER_BYTES = 1 << 20
+#: Schema of a listing: the content is never selected, so no file is opened for it.
+LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def file_paths(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files of a folder, pattern or list, as Spark lists them."""
+    listing = spark.read.format("binaryFile").schema(LISTING).load(path)
+    return sorted(r["path"] for r in listing.select("path").collect())
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """A file's first line from its first bytes; null for an empty file."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEADER_BYTES)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bounded, "UTF-8")).readLine()
+    finally:
+        stream.close()
 
 
 def headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The distinct headers of CSV files, and the files under each. Only file names and headers
-    reach the driver, as they do when Spark lists the files."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_block_start").alias("start")).filter("start = 0")
-    lines = lines.withColumn("at", F.monotonically_increasing_id())
-    first = F.min_by("value", "at").alias("header")
+    """The distinct headers of CSV files, and the files under each; empty files have none.
+
+    Only the first bytes of each file are read, some files at a time; rows are not touched.
+    """
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.groupBy("file").agg(first).collect():
-        columns = tuple(next(csv.reader([row["header"].rstrip("\r")]), ()))
-        found.setdefault(columns, []).append(unquote(row["file"]))
+    paths = file_paths(spark, path)
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(paths, pool.map(lambda p: first_line(spark, p), paths)):
+            if line:
+                found.setdefault(tuple(next(csv.reader([line]), ())), []).append(file)
     return found
 
 
@@ -51,7 +78,7 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         rows = reader.csv(path if len(variants) == 1 else sorted(files))
         parts.append(with_source(rows).withColumn(FILE_COLUMNS, names))
     if not parts:
-        return spark.createDataFrame([], f"source_path STRING, {FILE_COLUMNS} ARRAY<STRING>")
+        return spark.createDataFrame([], f"source_path STRING, {SOURCE_TIME} TIMESTAMP, {FILE_COLUMNS} ARRAY<STRING>")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

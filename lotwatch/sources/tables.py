@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from lotwatch.functions.ranking import latest_per_key
 from lotwatch.schemas import GOLD, SILVER
-from lotwatch.session import staged
+from lotwatch.sources import versions
 
 
 def with_lineage(df: DataFrame, run_id: str, at: Column | str, time_column: str) -> DataFrame:
@@ -34,28 +34,10 @@ def write_run(df: DataFrame, path: str, run_id: str, at: Column | str,
     )
 
 
-def retire_keys(spark: SparkSession, path: str, keys: Sequence[str], run_id: str) -> None:
-    """Take the keys of run ``run_id`` out of all other runs of a table.
-
-    Only partitions of runs that hold such a key are written anew, one partition replaced at a
-    time; a run that keeps no row loses its partition. Repeating the call changes nothing.
-    """
-    table = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
-    newest = table.filter(F.col("run_id") == run_id).select(*keys)
-    older = table.filter(F.col("run_id") != run_id)
-    hit = [r["run_id"] for r in older.join(newest, list(keys), "left_semi").select("run_id").distinct().collect()]
-    if not hit:
-        return
-    kept = staged(older.filter(F.col("run_id").isin(hit)).join(newest, list(keys), "left_anti"), "kept-rows")
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
-    left = {r["run_id"] for r in kept.select("run_id").distinct().collect()}
-    for run in sorted(set(hit) - left):
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id={run}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def read_table(spark: SparkSession, path: str, filter_expr: str | Column | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """A stored table, of the newest version where it keeps versions."""
+    version = versions.newest(spark, path)
+    df = versions.read(spark, path, version) if version.schema else spark.read.parquet(path)
     return df if filter_expr is None else df.filter(filter_expr)
 
 
@@ -79,16 +61,23 @@ def quarantine(bad: DataFrame, reason: str = "error_reason", source: str = "sour
 
 
 def ingest_log(rows: DataFrame, table: Column | str, run_id: str, at: Column | str,
-               source: str = "source_path", bad: str = "is_bad") -> DataFrame:
-    """One row per file with the written and quarantined counts."""
-    table = F.lit(table) if isinstance(table, str) else table
-    return rows.groupBy(F.col(source).alias("source_path")).agg(
-        F.count_if(~F.col(bad)).alias("rows_written"),
-        F.count_if(F.col(bad)).alias("rows_quarantined"),
+               source: str = "source_path", bad: str = "is_bad", files: Sequence[str] = ()) -> DataFrame:
+    """One row per file with the written and quarantined counts; ``files`` that have no row are
+    logged as EMPTY, so that they don't count as new for ever."""
+    column = F.lit(table) if isinstance(table, str) else table
+    rows = rows.select(F.col(source).alias("source_path"), column.alias("table_name"), (~F.col(bad)).alias("ok"))
+    if files:
+        listed = rows.sparkSession.createDataFrame([(f,) for f in files], "source_path STRING")
+        name = table if isinstance(table, str) else None
+        rows = rows.unionByName(listed.select("source_path", F.lit(name).cast("string").alias("table_name"),
+                                              F.lit(None).cast("boolean").alias("ok")))
+    return rows.groupBy("source_path").agg(
+        F.max("table_name").alias("table_name"), F.count_if("ok").alias("rows_written"),
+        F.count_if(~F.col("ok")).alias("rows_quarantined"),
     ).select(
-        "source_path", table.alias("table_name"), "rows_written", "rows_quarantined",
+        "source_path", "table_name", "rows_written", "rows_quarantined",
         F.lit(run_id).alias("run_id"),
-        F.when(F.col("rows_written") == 0, "QUARANTINED").otherwise("OK").alias("status"),
+        F.when(F.col("rows_written") > 0, "OK").when(F.col("rows_quarantined") > 0, "QUARANTINED").otherwise("EMPTY").alias("status"),
         F.lit(at).cast("timestamp").alias("ingested_at"),
     )
 

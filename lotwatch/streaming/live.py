@@ -2,45 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lotwatch.operators import detection
 from lotwatch.params import DetectionParams
 from lotwatch.plans.stages import RunParams, assess, split
 from lotwatch.schemas import LandingFeed
-from lotwatch.sources.landing import read_csv, with_source
+from lotwatch.sources import versions
+from lotwatch.sources.landing import LISTING, read_csv
 from lotwatch.sources.tables import with_lineage
 
 
-def landing_stream(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """New landing files as text; ``ingest`` reads each by its own header."""
-    reader = spark.readStream.option("pathGlobFilter", glob)
-    return with_source(reader.text(folder)).select("source_path")
+def landing_stream(spark: SparkSession, folder: str, glob: str = "*.csv", files_per_trigger: int | None = None) -> DataFrame:
+    """Paths of new landing files; no file is opened, ``ingest`` reads each by its own header."""
+    reader = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", glob)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(folder).select(F.col("_metadata.file_path").alias("source_path"))
 
 
 def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: Column | str,
            params: RunParams, available_now: bool = True, interval: str = "15 minutes") -> StreamingQuery:
     """Ingest each landing file exactly once, by the checks of the batch stage.
 
-    The file-source checkpoint remembers the files; every micro-batch overwrites its own
-    ``batch_id`` folder, so a batch replayed after a failure leaves the same rows. Rows are
-    assessed once per batch and kept for its three outputs.
+    The file-source checkpoint remembers the files. Every micro-batch is a run of the keyed
+    table of its own, so a key that a later file delivers again replaces the stored row, and a
+    batch replayed after a failure leaves the same rows. Rejected rows and the log overwrite
+    their own ``batch_id`` folder; the log lists files of a header alone too. Spark never lists
+    files of no bytes.
     """
 
     def land(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
-        paths = [unquote(r["source_path"]) for r in files.distinct().collect()]
+        paths = sorted(r["source_path"] for r in files.distinct().collect())
         if not paths:
             return
-        rows = assess(read_csv(spark, sorted(paths)), feed, params).persist()
-        out = split(rows, feed, run_id, at)
+        rows = assess(read_csv(spark, [unquote(p) for p in paths]), feed, params).persist()
+        out = split(rows, feed, run_id, at, paths)
+        versions.merge(out.good, f"{folder}/{feed.table}", feed.key, f"{run_id}/{batch_id}", at)
         outputs = {
-            feed.table: with_lineage(out.good, run_id, at, "ingested_at"),
             "bad_records": with_lineage(out.bad, run_id, at, "quarantined_at"),
             "ingest_log": with_lineage(out.log, run_id, at, "ingested_at"),
         }
@@ -82,12 +90,86 @@ def weekly_trend(stream: DataFrame, time: str, delay: str, threshold: float) ->
     )
 
 
+class _LotMean(StatefulProcessor):
+    """Number and sum of the rates that have arrived on a lot since its last pause."""
+
+    def __init__(self, rate: str, time: str, order: Sequence[str], idle_ms: int) -> None:
+        self.rate, self.time, self.order, self.idle_ms = rate, time, list(order), idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "n bigint, total double, last bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values([self.time, *self.order], kind="stable", ignore_index=True)
+        rate = arrived[self.rate]
+        if key[0] is None:  # no lot, so nothing to average with
+            yield arrived.assign(lot_rate=rate)
+            return
+        at = arrived[self.time].map(lambda t: int(t.timestamp() * 1000))
+        n, total, last = self.seen.get() if self.seen.exists() else (0, 0.0, int(at.iloc[0]))
+        # After a pause the count starts anew, whether or not the timer has fired by now.
+        pause = at.diff().fillna(at.iloc[0] - last) > self.idle_ms
+        spell = pause.cumsum()
+        counts = rate.notna().groupby(spell).cumsum() + n * (spell == 0)
+        running = rate.fillna(0.0).groupby(spell).cumsum() + total * (spell == 0)
+        self.seen.update((int(counts.iloc[-1]), float(running.iloc[-1]), int(at.iloc[-1])))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(at.iloc[-1]) + self.idle_ms)
+        yield arrived.assign(lot_rate=running / counts.where(counts > 0))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def with_lot_rates(stream: DataFrame, time: str, delay: str, idle_days: int, lot: str = "material_lot",
+                   rate: str = "observed_defect_rate", order: Sequence[str] = ("batch_id",)) -> DataFrame:
+    """Arrivals with ``lot_rate``, the mean rate of their lot up to and with each of them.
+
+    A lot's count and sum live in the state store, so arrivals of earlier triggers count and a
+    restart goes on from them; a lot without arrivals for ``idle_days`` is forgotten. Arrivals
+    of one trigger follow in the order of ``time`` and ``order``; rows without a lot keep their
+    own rate. Needs the RocksDB state store (``durable_state``).
+    """
+    schema = StructType([*stream.schema, StructField("lot_rate", DoubleType())])
+    return stream.withWatermark(time, delay).groupBy(lot).transformWithStateInPandas(
+        statefulProcessor=_LotMean(rate, time, order, idle_days * 86_400_000), outputStructType=schema,
+        outputMode="append", timeMode="eventTime")
+
+
+@contextmanager
+def durable_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, on disk beside the checkpoint and not
+    on the executors' heap; the session's own setting comes back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def arrival_alerts(stream: DataFrame, baseline: DataFrame, risk: DataFrame,
                    params: DetectionParams, lot_averages: DataFrame | None = None) -> DataFrame:
-    """Status of each arriving batch measurement against static baseline and risk tables."""
+    """Status of each arriving batch measurement against static baseline and risk tables.
+
+    The lot's rate is that of ``with_lot_rates`` where the stream went through it, else that of
+    a static table, else the arrival's own.
+    """
     rows = detection.with_risk(stream, risk, params).join(
         baseline, ["supplier_id", "line_id"], "left")
-    if lot_averages is None:
+    if "lot_rate" in stream.columns:
+        rows = rows.withColumn("lot_rate", F.coalesce("lot_rate", "observed_defect_rate"))
+    elif lot_averages is None:
         rows = rows.withColumn("lot_rate", F.col("observed_defect_rate"))
     else:
         rows = rows.join(lot_averages, "material_lot", "left").withColumn(
@@ -101,12 +183,13 @@ def arrival_alerts(stream: DataFrame, baseline: DataFrame, risk: DataFrame,
 
 
 def run_to_table(stream: DataFrame, folder: str, available_now: bool = True) -> DataFrame:
-    """Drain a stream into a Parquet table and read the table back."""
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{folder}/_checkpoint")
-        .trigger(**({"availableNow": True} if available_now else {"processingTime": "15 minutes"}))
-        .start(f"{folder}/table")
-    )
+    """Drain a stream into a Parquet table and read the table back; state is kept in RocksDB."""
+    with durable_state(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{folder}/_checkpoint")
+            .trigger(**({"availableNow": True} if available_now else {"processingTime": "15 minutes"}))
+            .start(f"{folder}/table")
+        )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/table")

@@ -5,6 +5,7 @@ from lotwatch.plans import stages
 from lotwatch.schemas import FEED_BY_STEM
 from lotwatch.sources import export, feeds, landing
 from lotwatch.sources import testdata as D
+from lotwatch.sources.tables import read_table
 
 AT = "2024-01-01 00:00:00"
 
@@ -34,7 +35,7 @@ def test_ingest_routes_good_and_bad_rows(spark, sf, tmp_path):
     total = raw.count()
     for _ in range(2):
         stages.ingest(raw, feed, str(tmp_path), "run-1", AT, params)
-    read = lambda p: spark.read.parquet(f"{tmp_path}/silver/{p}")
+    read = lambda p: read_table(spark, f"{tmp_path}/silver/{p}")
     good, bad, log = read(feed.table), read(f"bad_records/{feed.table}"), read(f"ingest_log/{feed.table}")
     rows = stages.assess(raw, feed, params).filter("error_reason IS NULL")
     # One row per key is stored; the log counts what each file delivered.
