@@ -288,9 +288,10 @@ class Phrases:
         heavy = marks(single.where(F.col("f") >= params.heavy).select("mark"))
         n = self.totals.agg(F.sum("n")).first()[0] or 0
         buckets = max(1, -(-n // params.bucket))
-        # As many partitions as buckets, whatever the session's number, so that tasks stay small.
-        routed = suffixes(rows, frequent, heavy, buckets, params).repartition(min(buckets, MOST_PARTITIONS), "bucket")
-        longer = routed.groupBy("bucket").applyInArrow(sorted_counts(params), "lang string, phrase string, words int, f long")
+        # A task takes one bucket, whatever the session's number of partitions.
+        tasks = min(buckets, MOST_PARTITIONS)
+        routed = suffixes(rows, frequent, heavy, buckets, params).withColumn("task", (F.col("bucket") % tasks).cast("int"))
+        longer = routed.repartitionById(tasks, "task").groupBy("task", "bucket").applyInArrow(sorted_counts(params), "lang string, phrase string, words int, f long")
         longer = longer.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= params.least)
         one = single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f")
         self.counts = Written(one.unionByName(longer), "phrases").df
