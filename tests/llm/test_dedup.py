@@ -187,6 +187,9 @@ def repeated(docs, params):
     bits = 64 // params.blocks
 
     def meet(a, b):
+        """Pairs that are compared: all with a short line, long ones by longest word and block."""
+        if min(len(a), len(b)) <= params.exact:
+            return 10 * abs(len(a) - len(b)) <= max(len(a), len(b))
         differ = sim[a] ^ sim[b]
         return anchor[a] == anchor[b] and differ.bit_count() <= params.bits and any(
             not differ >> bits * k & (1 << bits) - 1 for k in range(params.blocks))
