@@ -133,7 +133,7 @@ def infill(docs: DataFrame, params: InfillParams = InfillParams(), text: str = "
     Two draws from the key cut a text into prefix, middle and suffix. Null counts as an empty
     text; empty texts, texts that hold a mark and those not drawn stay plain, without lengths.
     Repeated rows of a key and a text are cut alike, so reruns agree; an empty table gives an
-    empty one. Texts of any length are worked on in windows of a megabyte.
+    empty one. Texts of any length are worked on in windows of two megabytes.
     """
     narrow = docs.select(docs[key].alias("key"), docs[text].alias("text"), *[
         h.alias(f"h{i}") for i, h in enumerate(draws(docs[key], params))])
