@@ -98,14 +98,14 @@ def note_unverified(text: Column, unverified: Column) -> Column:
 
 
 def audit(rows: DataFrame, text: str, trusted: str, params: SummaryParams) -> DataFrame:
-    """Check every numeric claim of a text against the trusted values on its row."""
-    claims = T.extract_claims(text)
-    judged = rows.withColumn("_judged", T.judged_claims(claims, trusted, params.claim_tolerance))
-    checked = judged.withColumns({
-        "verified_claims": T.claims_where("_judged", True),
-        "unverified_claims": T.claims_where("_judged", False),
-    }).drop("_judged")
-    return checked.withColumns({
+    """Check every numeric claim of a text against the trusted values on its row.
+
+    The claims are judged once, as the one element of an array that is laid out as columns.
+    """
+    judged = F.array(T.judged_claims(T.extract_claims(text), trusted, params.claim_tolerance))
+    lists = F.transform(judged, lambda j: F.struct(
+        T.claims_where(j, True).alias("verified_claims"), T.claims_where(j, False).alias("unverified_claims")))
+    return rows.select("*", F.inline(lists)).withColumns({
         "all_claims_verified": F.size("unverified_claims") == 0,
         "revised_text": T.annotate(text, "unverified_claims"),
     })

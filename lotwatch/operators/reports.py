@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwatch.functions.ranking import latest_per_key
 from lotwatch.functions.scalars import json_list_size, kpi_colour
 from lotwatch.params import RiskParams
 
@@ -115,10 +114,6 @@ def heat_cells(alerts: DataFrame, baseline: DataFrame) -> DataFrame:
     return cells.join(reference, ["supplier_id", "line_id"], "left")
 
 
-def latest_per_run(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    return latest_per_key(rows, ["run_id"], order)
-
-
 def latest_row(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """The single newest row of a table."""
     ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])

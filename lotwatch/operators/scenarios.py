@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwatch.functions.ranking import exact_quantiles
-from lotwatch.params import RETURN_RATE_VARIANTS, Scenario, ScenarioParams
+from lotwatch.params import Scenario, ScenarioParams
 
 # Fixed value: standard normal quantile at 0.9, and the shortest timeline in days.
 NORMAL_P90 = 1.2815515655446004
@@ -77,7 +77,7 @@ def projections(profile: DataFrame, params: ScenarioParams, overrides: DataFrame
     """Cost summary per run, return-rate variant and scenario.
 
     ``profile`` has one row per run: run_id, total_units and the columns of ``rate_profile``.
-    The cost rises linearly with the return rate, so its quantiles are the costs at the rate
+    The cost is linear in the return rate, so its quantiles are the costs at the rate
     quantiles and no row is ever repeated per scenario or variant.
     """
     rows = scenario_rows(profile, params, overrides).withColumn(
@@ -89,6 +89,8 @@ def projections(profile: DataFrame, params: ScenarioParams, overrides: DataFrame
         stat: F.round(total_cost(units, F.col(f"{stat}_rate") * factor, params), 2)
         for stat in ("mean", "p10", "p50", "p90")
     }
+    # Under a negative factor the cost falls with the rate, so the ends change places.
+    cost["p10"], cost["p90"] = F.least(cost["p10"], cost["p90"]), F.greatest(cost["p10"], cost["p90"])
     half = F.lit(NORMAL_P90) * F.col("timeline_std")
     rows = rows.select(
         "run_id", "return_rate_assumption", F.col("name").alias("scenario_name"),
@@ -209,6 +211,3 @@ def final_savings(curves: DataFrame, keys: Sequence[str] = ("run_id",),
     return ends.groupBy(*keys).agg(
         pick(early).alias("early_cost_usd"), pick(late).alias("late_cost_usd")
     ).withColumn("savings_usd", F.round(F.col("late_cost_usd") - F.col("early_cost_usd"), 2))
-
-
-VARIANTS = RETURN_RATE_VARIANTS

@@ -29,7 +29,15 @@ def newest(raw: DataFrame, keys: Sequence[str], upper: Sequence[str] = ()) -> Da
     Two spellings of one key meet because the keys are normalised first; equal ingest times
     are settled by the remaining columns, so the choice never depends on row order.
     """
-    tidy = raw.withColumns({c: S.norm_key(c) for c in {*keys, *upper}})
+    return newest_of(normalised(raw, keys, upper), keys)
+
+
+def normalised(raw: DataFrame, keys: Sequence[str], upper: Sequence[str] = ()) -> DataFrame:
+    return raw.withColumns({c: S.norm_key(c) for c in {*keys, *upper}})
+
+
+def newest_of(tidy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The latest ingested row of each key; without a shuffle where ``tidy`` is bucketed by it."""
     ties = [c for c in tidy.columns if c not in keys and c != "ingested_at"]
     return latest_per_key(tidy, keys, [F.col("ingested_at").try_cast("timestamp"), *sorted(ties)])
 

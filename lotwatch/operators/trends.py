@@ -12,7 +12,13 @@ from lotwatch.functions.scalars import month_key, week_start
 
 def weekly_trend(inspections: DataFrame, threshold: float, dim_batch: DataFrame | None = None,
                  date: str = "inspection_date") -> DataFrame:
-    """Mean of the per-inspection rates by supplier and Monday week.
+    """Mean of the per-inspection rates by supplier and Monday week."""
+    return finish_weekly(weekly_state(inspections, dim_batch, date), threshold)
+
+
+def weekly_state(inspections: DataFrame, dim_batch: DataFrame | None = None,
+                 date: str = "inspection_date") -> DataFrame:
+    """Sums and counts by supplier and Monday week; the states of several runs add up.
 
     With ``dim_batch`` the week is that of the batch's production date, found by batch and
     supplier; otherwise the date already on the row is used.
@@ -27,15 +33,23 @@ def weekly_trend(inspections: DataFrame, threshold: float, dim_batch: DataFrame
         .dropna(subset=["supplier_id", "production_week"])
         .groupBy("supplier_id", "production_week")
         .agg(
-            F.avg(rate).alias("weekly_defect_rate"),
+            F.sum(rate).alias("rate_sum"),
+            F.count(rate).alias("rated"),
             F.count(F.lit(1)).alias("inspections"),
             F.sum("units_inspected").alias("total_units_inspected"),
             F.sum("defect_count").alias("total_defects"),
         )
-        .withColumn("above_threshold", F.col("weekly_defect_rate") >= threshold)
     )
 
 
+def finish_weekly(states: DataFrame, threshold: float) -> DataFrame:
+    """The trend from the states of all runs."""
+    return states.groupBy("supplier_id", "production_week").agg(
+        F.try_divide(F.sum("rate_sum"), F.sum("rated")).alias("weekly_defect_rate"),
+        *[F.sum(c).alias(c) for c in ("inspections", "total_units_inspected", "total_defects")],
+    ).withColumn("above_threshold", F.col("weekly_defect_rate") >= threshold)
+
+
 def lot_rates(batches: DataFrame, threshold: float) -> DataFrame:
     """Mean and maximum of the batch rates on each lot and supplier."""
     return (
@@ -51,6 +65,25 @@ def lot_rates(batches: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def lot_state(batches: DataFrame) -> DataFrame:
+    """Sums of each batch, by which the inspections that other runs bring on it add up."""
+    n = F.col("inspection_count")
+    return batches.dropna(subset=["material_lot", "supplier_id"]).select(
+        "batch_id", "supplier_id", "line_id", "material_lot", "unit_count", n.alias("inspection_count"),
+        (F.col("avg_defect_count") * n).alias("defects"), (F.col("avg_units_inspected") * n).alias("units"))
+
+
+def finish_lots(states: DataFrame, threshold: float, units_add_up: bool = False) -> DataFrame:
+    """Lot rates from the states of all runs. ``unit_count`` is the batch's own figure, the same
+    in every run; where it was summed from the inspections of a run, it adds up instead."""
+    n = F.sum("inspection_count")
+    whole = F.sum if units_add_up else F.max
+    batches = states.groupBy("batch_id", "supplier_id", "line_id", "material_lot").agg(
+        whole("unit_count").alias("unit_count"),
+        ((F.sum("defects") / n) / (F.sum("units") / n)).alias("observed_defect_rate"))
+    return lot_rates(batches, threshold)
+
+
 def top_lots(rates: DataFrame, n: int = 15) -> DataFrame:
     return rates.orderBy(F.desc("mean_defect_rate"), "lot_id").limit(n)
 
@@ -95,17 +128,26 @@ def production_conditions(dim_batch: DataFrame, inspections: DataFrame) -> DataF
         F.count(F.lit(1)).alias("_rows"), F.sum("defect_count").alias("_defects"),
         F.max("defect_count").alias("_max"), F.count_if(F.col("pass_fail") == "FAIL").alias("_fails"),
     )
-    return (
-        dim_batch.select("batch_id", "line_id", "unit_count",
-                         month_key("production_date").alias("month"))
-        .join(folded, "batch_id", "left")
-        .groupBy("line_id", "month")
-        .agg(
-            F.count(F.lit(1)).alias("batches_produced"),
-            F.sum("unit_count").alias("total_units"),
-            F.try_divide(F.sum("_defects").cast("double"), F.sum("_rows").cast("double"))
-            .alias("avg_defects_per_inspection"),
-            F.max("_max").alias("max_defects"),
-            F.coalesce(F.sum("_fails"), F.lit(0)).alias("fail_inspections"),
-        )
+    return _by_line_month(dim_batch.select(
+        "batch_id", "line_id", "unit_count", month_key("production_date").alias("month")).join(folded, "batch_id", "left"))
+
+
+def line_months(inspections: DataFrame) -> DataFrame:
+    """``production_conditions`` where the batch's line and dates travel on the inspections: one
+    scan, folded to batches and then to lines and months."""
+    batches = inspections.groupBy("batch_id", "line_id").agg(
+        F.sum("units_inspected").alias("unit_count"), F.min("inspection_date").alias("production_date"),
+        F.count(F.lit(1)).alias("_rows"), F.sum("defect_count").alias("_defects"), F.max("defect_count").alias("_max"),
+        F.count_if(F.col("pass_fail") == "FAIL").alias("_fails"))
+    return _by_line_month(batches.withColumn("month", month_key("production_date")))
+
+
+def _by_line_month(batches: DataFrame) -> DataFrame:
+    return batches.groupBy("line_id", "month").agg(
+        F.count(F.lit(1)).alias("batches_produced"),
+        F.sum("unit_count").alias("total_units"),
+        F.try_divide(F.sum("_defects").cast("double"), F.sum("_rows").cast("double"))
+        .alias("avg_defects_per_inspection"),
+        F.max("_max").alias("max_defects"),
+        F.coalesce(F.sum("_fails"), F.lit(0)).alias("fail_inspections"),
     )

@@ -67,6 +67,7 @@ SCENARIOS = (
     Scenario("partial_remediation", "Partial Remediation", 0.40, 8.50, 85_000.0, 0.5, 44.7, 9.0),
     Scenario("full_recall", "Full Recall", 0.0, 22.00, 220_000.0, 0.2, 74.5, 15.0),
 )
+# Return-rate variants of the response scenarios.
 RETURN_RATE_VARIANTS = (0.70, 0.85, 1.00, 1.15, 1.30)
 
 # Expected cost in USD at each of the six response stages.
@@ -90,7 +91,6 @@ ROI_STAGE_COSTS = {
 class ScenarioParams:
     # Pricing, band width and sample-size gate.
     avg_unit_price: float = 85.0
-    base_return_rate: float = 0.24
     band: float = 0.08
     min_sample: int = 10_000
     reference_scenario: str = "detect_late"
@@ -128,7 +128,7 @@ class Domains:
 
 @dataclass(frozen=True)
 class RiskParams:
-    # Cut points on the composite score (higher is safer).
+    # Cut points on the composite score (higher is safer), and its dimensions.
     high_below: float = 0.70
     elevated_below: float = 0.78
     dimensions: tuple[str, ...] = field(

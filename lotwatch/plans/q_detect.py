@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from lotwatch.functions.scalars import pct_above
 from lotwatch.operators import detection, lookups, outliers, reports, trends
+from lotwatch.plans import stages
 from lotwatch.plans.present import present
-from lotwatch.plans.registry import query
+from lotwatch.plans.registry import ORACLES, query
 from lotwatch.plans.sqlparts import with_parts
+from lotwatch.session import scratch_path, staged
+from lotwatch.sources import tables
 from lotwatch.sources import testdata as D
 
 THRESHOLD = D.PARAMS.rate_threshold
@@ -25,13 +28,7 @@ def batch_alerts(spark, sf):
         "supplier_risk_tier", "fail_inspections", "material_lot", "production_date")
 
 
-@query("alert_reasoning", with_parts("scored", """
-SELECT batch_id, CASE WHEN alert_status = 'UNRESOLVED' THEN 'No baseline on record for this supplier and line.'
- WHEN alert_status = 'FLAGGED' AND z >= threshold THEN printf('Rate %.4f lies %.1f SD over the baseline (mean %.4f, SD %.4f); pre-screen inlier; risk tier %s (composite %.2f).',
-      round(CAST(observed_defect_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, round(CAST(mean_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(std_rate AS DECIMAL(24, 12)), 4)::DOUBLE, risk_tier, round(CAST(composite_risk_score AS DECIMAL(24, 12)), 2)::DOUBLE)
- WHEN alert_status = 'FLAGGED' THEN printf('Borderline z %.1f confirmed by lot %s at rate %.4f; risk tier %s.', round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, material_lot, round(CAST(lot_rate AS DECIMAL(24, 12)), 4)::DOUBLE, risk_tier)
- WHEN alert_status = 'REVIEW' THEN printf('Borderline z %.1f, lot rate %.4f not raised.', round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE, round(CAST(lot_rate AS DECIMAL(24, 12)), 4)::DOUBLE)
- ELSE printf('Rate %.4f is %.1f SD from the baseline.', round(CAST(observed_defect_rate AS DECIMAL(24, 12)), 4)::DOUBLE, round(CAST(z AS DECIMAL(24, 12)), 1)::DOUBLE) END AS reasoning FROM scored"""))
+@query("alert_reasoning", with_parts("reasons", "SELECT batch_id, reasoning FROM reasons"))
 def alert_reasoning(spark, sf):
     return D.compute_alerts(spark, sf, with_type=False).select(
         "batch_id", F.col("reasoning_chain").alias("reasoning"))
@@ -116,18 +113,44 @@ def outlier_screen(spark, sf):
 
 
 @query("outlier_invariants", with_parts("bq", """
-SELECT count(*) AS batches, count(*) AS scores_in_range, TRUE AS share_kept, TRUE AS cut_separates FROM bq"""))
+SELECT count(*) AS batches, count(*) AS scores_in_range, 0 AS wrongly_marked,
+       least(count(*), CAST(floor(0.1 * (count(*) - 1)) AS BIGINT) + 1) AS marked_at_most FROM bq"""))
 def outlier_invariants(spark, sf):
     """What must hold of the screen whatever its random trees: every batch is scored within
-    (0, 1], at most the expected share is marked, and marked scores lie above all others."""
-    marked = F.col("is_outlier")
-    highest = F.coalesce(F.max(F.when(~marked, F.col("outlier_score"))), F.lit(0.0))
-    lowest = F.coalesce(F.min(F.when(marked, F.col("outlier_score"))), F.lit(1.0))
+    (0, 1], the marks are those that the scores and the exact quantile give when taken again,
+    and there are no more than the share allows."""
+    rows = staged(outlier_screen(spark, sf), "screened")
+    cut = rows.agg(F.percentile("outlier_score", 1 - D.PARAMS.contamination).alias("cut"))
+    marked, again = F.col("is_outlier"), F.col("outlier_score") > F.col("cut")
     in_range = (F.col("outlier_score") > 0) & (F.col("outlier_score") <= 1)
-    return outlier_screen(spark, sf).agg(
-        F.count(F.lit(1)).alias("batches"), F.count_if(in_range).alias("scores_in_range"),
-        (F.count_if(marked) <= D.PARAMS.contamination * F.count(F.lit(1))).alias("share_kept"),
-        (lowest > highest).alias("cut_separates"))
+    n = F.count(F.lit(1))
+    most = F.least(n, F.floor(F.lit(D.PARAMS.contamination) * (n - 1)).cast("bigint") + 1)
+    return rows.join(cut, F.col("outlier_score").isNotNull(), "left").agg(
+        n.alias("batches"), F.count_if(in_range).alias("scores_in_range"),
+        F.count_if(marked != again).cast("int").alias("wrongly_marked"),
+        F.when(F.count_if(marked) <= most, most).otherwise(F.count_if(marked)).alias("marked_at_most"))
+
+
+@query("alerts_under_screen", with_parts("scored", """
+SELECT count(*) FILTER (z >= threshold) AS by_score, count(*) FILTER (z >= 1.8 AND z < threshold AND alert_status = 'FLAGGED') AS by_lot,
+       count(*) FILTER (alert_status = 'REVIEW') AS borderline, count(*) FILTER (alert_status = 'NORMAL') AS normal,
+       count(*) FILTER (alert_status = 'UNRESOLVED') AS unresolved FROM scored"""))
+def alerts_under_screen(spark, sf):
+    """The screen raises borderline batches and nothing else: with it, batches flagged by score
+    or lot, normal and unresolved ones are those without it, and each borderline batch is
+    flagged if it was marked and up for review if not."""
+    batches = staged(D.batch_quality(spark, sf), "screened-batches")
+    flags = outliers.flag_outliers(batches, D.PARAMS)
+    rows = detection.scored(batches, detection.baselines(D.history(spark, sf)), D.risk_scores(spark, sf), D.PARAMS, flags)
+    z, status, low = F.col("z"), F.col("alert_status"), D.PARAMS.borderline_low
+    raised = F.col("lot_rate") >= F.col("mean_rate") + low * F.col("std_rate")
+    near = (z >= low) & (z < F.col("threshold"))
+    judged = F.when(F.col("is_outlier"), status == "FLAGGED").otherwise(status == "REVIEW")
+    return rows.agg(
+        F.count_if((status == "FLAGGED") & (z >= F.col("threshold"))).alias("by_score"),
+        F.count_if((status == "FLAGGED") & near & raised).alias("by_lot"),
+        F.count_if(near & ~raised & judged).alias("borderline"),
+        F.count_if(status == "NORMAL").alias("normal"), F.count_if(status == "UNRESOLVED").alias("unresolved"))
 
 
 @query("alerts_with_outliers")
@@ -146,6 +169,31 @@ def weekly_defect_trend(spark, sf):
     return present(trends.weekly_trend(D.inspections(spark, sf), THRESHOLD))
 
 
+@query("incremental_weekly_trend", with_parts("weekly", """
+SELECT supplier_id, CAST(production_week AS VARCHAR) AS production_week, round(weekly_defect_rate, 6) AS weekly_defect_rate,
+       inspections, total_units_inspected, total_defects, above_threshold FROM weekly"""))
+def incremental_weekly_trend(spark, sf):
+    """Two runs share every week; each stores the sums of its own rows, the second one twice."""
+    path = scratch_path(spark, "weekly-state")
+    for run, half in (("run-1", 0), ("run-2", 1), ("run-2", 1)):
+        rows = D.inspections(spark, sf).filter(F.crc32("inspection_id") % 2 == half)
+        states = stages.add_state(trends.weekly_state(rows), path, run, D.CUTOVER)
+    return present(trends.finish_weekly(states, THRESHOLD))
+
+
+@query("incremental_lot_rates", with_parts("lotrates", """
+SELECT lot_id, supplier_id, round(mean_defect_rate, 6) AS mean_defect_rate, round(max_defect_rate, 6) AS max_defect_rate,
+       batch_count, total_units, above_threshold FROM lotrates"""))
+def incremental_lot_rates(spark, sf):
+    """Inspections of a batch come in two runs; rates are those of the whole batches."""
+    path = scratch_path(spark, "lot-state")
+    for run, half in (("run-1", 0), ("run-2", 1)):
+        rows = D.inspections(spark, sf).filter(F.crc32("inspection_id") % 2 == half)
+        batches = detection.batch_quality(rows, D.PARAMS, carry={"unit_count": F.sum("units_inspected")}, extra_keys=["material_lot"])
+        states = stages.add_state(trends.lot_state(batches), path, run, D.CUTOVER)
+    return present(trends.finish_lots(states, THRESHOLD, units_add_up=True))
+
+
 @query("weekly_trend_by_batch_date", with_parts("insp dimball", """
 SELECT supplier_id, CAST(date_trunc('week', production_date) AS DATE)::VARCHAR AS production_week,
        round(avg(CAST(defect_count AS DOUBLE) / greatest(units_inspected, 1)), 6) AS weekly_defect_rate,
@@ -180,12 +228,12 @@ def lot_master(spark, sf):
     return present(trends.lot_master(D.dim_batch(spark, sf, since=None)))
 
 
-@query("fleet_signal", with_parts("hist risk", """
+@query("fleet_signal", with_parts("histall risk", """
 SELECT strftime(month, '%Y-%m') AS period, round(avg(defect_rate), 6) AS defect_rate
-FROM hist WHERE supplier_id IN (SELECT supplier_id FROM risk WHERE risk_tier = 'HIGH') GROUP BY 1"""))
+FROM histall WHERE supplier_id IN (SELECT supplier_id FROM risk WHERE risk_tier = 'HIGH') GROUP BY 1"""))
 def fleet_signal(spark, sf):
     risky = D.risk_scores(spark, sf).filter(F.col("risk_tier") == "HIGH")
-    return present(trends.fleet_signal(D.history(spark, sf), risky))
+    return present(trends.fleet_signal(D.history(spark, sf, before=None), risky))
 
 
 @query("first_crossing_fleet", with_parts("weekly", """
@@ -260,20 +308,20 @@ def star_join(spark, sf):
     return present(rows, "batch_id", "alert_status", "unit_count", "supplier_name", "country", "region", "tier")
 
 
-@query("attention_list", with_parts("alerts", """
-SELECT batch_id, supplier_id, line_id, supplier_risk_tier, CAST(round(CAST(observed_defect_rate AS DECIMAL(18, 6)), 4) AS DOUBLE) AS defect_rate,
-       CAST(round(CAST(anomaly_score AS DECIMAL(18, 4)), 2) AS DOUBLE) AS z_score, alert_status, material_lot FROM alerts
+@query("attention_list", with_parts("alerts reasons", """
+SELECT batch_id, reasoning[1:100] AS reasoning, supplier_id, line_id, supplier_risk_tier, CAST(round(CAST(observed_defect_rate AS DECIMAL(18, 6)), 4) AS DOUBLE) AS defect_rate,
+       CAST(round(CAST(anomaly_score AS DECIMAL(18, 4)), 2) AS DOUBLE) AS z_score, alert_status, material_lot FROM alerts JOIN reasons USING (batch_id)
 WHERE alert_status IN ('FLAGGED', 'REVIEW', 'UNRESOLVED')"""))
 def attention_list(spark, sf):
-    return lookups.attention_list(D.alerts(spark, sf)).drop("reasoning")
+    return lookups.attention_list(D.alerts(spark, sf))
 
 
-@query("lot_members", with_parts("dimb alerts", """
-SELECT material_lot, batch_id, supplier_id, line_id, CAST(production_date AS VARCHAR) AS production_date FROM dimb
+@query("lot_members", with_parts("dimball alerts", """
+SELECT material_lot, batch_id, supplier_id, line_id, CAST(production_date AS VARCHAR) AS production_date FROM dimball
 WHERE material_lot IN (SELECT material_lot FROM alerts WHERE alert_status = 'FLAGGED')"""))
 def lot_members(spark, sf):
     flagged = D.alerts(spark, sf).filter(F.col("alert_status") == "FLAGGED")
-    return present(detection.lot_members(D.dim_batch(spark, sf), flagged))
+    return present(detection.lot_members(D.dim_batch(spark, sf, since=None), flagged))
 
 
 @query("flagged_batches_only", with_parts("insp alerts", """
@@ -283,3 +331,13 @@ def flagged_batches_only(spark, sf):
     flagged = D.alerts(spark, sf).filter(F.col("alert_status") == "FLAGGED").select("batch_id")
     rows = D.inspections(spark, sf).join(flagged, "batch_id", "left_semi")
     return present(rows, "inspection_id", "batch_id", "units_inspected", "defect_count")
+
+
+@query("star_from_buckets", ORACLES["star_join"])
+def star_from_buckets(spark, sf):
+    """The same star with alerts and batches stored in buckets of the batch: neither is shuffled."""
+    keep = lambda df, name: tables.write_bucketed(df, scratch_path(spark, name), ["batch_id"], 16)
+    alerts = keep(D.alerts(spark, sf).select("batch_id", "supplier_id", "alert_status"), "bucketed-alerts")
+    batches = keep(D.dim_batch(spark, sf).select("batch_id", "unit_count"), "bucketed-batches")
+    rows = alerts.join(batches, "batch_id", "left").join(D.dim_supplier(spark, sf), "supplier_id", "left")
+    return present(rows, "batch_id", "alert_status", "unit_count", "supplier_name", "country", "region", "tier")

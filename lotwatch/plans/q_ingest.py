@@ -12,7 +12,7 @@ from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
 from lotwatch.plans.stages import RunParams, assess, ingest
 from lotwatch.schemas import FEED_BY_STEM
-from lotwatch.session import scratch_path
+from lotwatch.session import landed, scratch_path
 from lotwatch.sources import export, feeds, landing, tables, versions
 from lotwatch.sources import testdata as D
 
@@ -176,7 +176,7 @@ def redelivered(spark, sf):
             raw = landing.read_csv(spark, f"{folder}/{drop}").drop("flag")
             ingest(raw, QC, root, run, AT, RunParams(domains=DOMAINS))
 
-    return f"{feeds.landed(spark, sf, 'redelivered-runs', write)}/silver/{QC.table}"
+    return f"{landed(spark, sf, 'redelivered-runs', write)}/silver/{QC.table}"
 
 
 @query("redelivered_keys", with_parts("perkey", """

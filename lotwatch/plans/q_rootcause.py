@@ -210,22 +210,30 @@ def alerts_with_findings(spark, sf):
 SELECT inspection_id, batch_id, units_inspected, defect_count FROM insp
 WHERE inspection_date BETWEEN DATE '1999-03-01' AND DATE '1999-03-31'"""))
 def lookup_qc(spark, sf):
-    rows = lookups.qc(D.inspections(spark, sf), dates=("1999-03-01", "1999-03-31"))
+    rows = lookups.qc(D.clustered_inspections(spark, sf), dates=("1999-03-01", "1999-03-31"))
     return present(rows, "inspection_id", "batch_id", "units_inspected", "defect_count")
 
 
-@query("lookup_material_lot", with_parts("dimb", """
-SELECT batch_id, supplier_id, material_lot, line_id, CAST(production_date AS VARCHAR) AS production_date FROM dimb
+@query("lookup_qc_batch", with_parts("insp", """
+SELECT inspection_id, units_inspected, defect_count FROM insp WHERE batch_id = (SELECT min(batch_id) FROM insp)"""))
+def lookup_qc_batch(spark, sf):
+    stored = D.clustered_inspections(spark, sf, "batch_id")
+    wanted = stored.agg(F.min("batch_id")).first()[0]
+    return present(lookups.qc(stored, batch_id=wanted), "inspection_id", "units_inspected", "defect_count")
+
+
+@query("lookup_material_lot", with_parts("dimball", """
+SELECT batch_id, supplier_id, material_lot, line_id, CAST(production_date AS VARCHAR) AS production_date FROM dimball
 WHERE material_lot = 'LOT-7-199903'"""))
 def lookup_material_lot(spark, sf):
-    return present(lookups.material_lot(D.dim_batch(spark, sf), "LOT-7-199903"))
+    return present(lookups.material_lot(D.dim_batch(spark, sf, since=None), "LOT-7-199903"))
 
 
-@query("lookup_supplier_history", with_parts("hist", """
+@query("lookup_supplier_history", with_parts("histall", """
 SELECT supplier_id, line_id, CAST(month AS VARCHAR) AS month, units_inspected, round(defect_rate, 6) AS defect_rate, defects_found
-FROM hist WHERE supplier_id = 'S7'"""))
+FROM histall WHERE supplier_id = 'S7'"""))
 def lookup_supplier_history(spark, sf):
-    return present(lookups.supplier_history(D.history(spark, sf), "S7"))
+    return present(lookups.supplier_history(D.history(spark, sf, before=None), "S7"))
 
 
 @query("lookup_findings", with_parts("finds", """

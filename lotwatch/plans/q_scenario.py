@@ -15,7 +15,9 @@ from lotwatch.params import (
 from lotwatch.plans.present import present
 from lotwatch.plans.registry import query
 from lotwatch.plans.sqlparts import part, with_parts
-from lotwatch.sources import export
+from lotwatch.schemas import registered
+from lotwatch.session import scratch_path, stored
+from lotwatch.sources import export, tables
 from lotwatch.sources import testdata as D
 
 PARAMS = ScenarioParams()
@@ -189,14 +191,31 @@ def final_savings(spark, sf):
     return present(scenarios.final_savings(scenarios.roi_curves(D.stage_costs(spark, sf), PARAMS)))
 
 
+def _stored_curves(spark, sf):
+    """Curves of all runs, computed once for the newest run and for its rows."""
+    return stored(spark, sf, "prevention_roi_curves", lambda: scenarios.roi_curves(D.stage_costs(spark, sf), PARAMS))
+
+
 @query("latest_run_curves", with_parts("curves", """
 SELECT run_id, scenario, CAST(stage_sequence AS BIGINT) AS stage_sequence, cumulative_cost_usd FROM curves
 WHERE run_id = (SELECT run_id FROM curves ORDER BY created_at DESC, run_id DESC LIMIT 1)"""))
 def latest_run_curves(spark, sf):
-    curves, _ = lookups.prevention_roi(scenarios.roi_curves(D.stage_costs(spark, sf), PARAMS))
+    curves, _ = lookups.prevention_roi(_stored_curves(spark, sf))
     return present(curves, "run_id", "scenario", "stage_sequence", "cumulative_cost_usd")
 
 
+@query("latest_run_savings", with_parts("curves", """
+SELECT run_id, max(CASE WHEN scenario = 'detect_early' THEN cumulative_cost_usd END) AS early_cost_usd,
+       max(CASE WHEN scenario = 'detect_late' THEN cumulative_cost_usd END) AS late_cost_usd,
+       max(CASE WHEN scenario = 'detect_late' THEN cumulative_cost_usd END) - max(CASE WHEN scenario = 'detect_early' THEN cumulative_cost_usd END) AS savings_usd
+FROM curves WHERE run_id = (SELECT run_id FROM curves ORDER BY created_at DESC, run_id DESC LIMIT 1)
+  AND stage_sequence = (SELECT max(stage_sequence) FROM curves) GROUP BY 1"""))
+def latest_run_savings(spark, sf):
+    """The second result of the same tool."""
+    _, savings = lookups.prevention_roi(_stored_curves(spark, sf))
+    return present(savings)
+
+
 @query("stage_plan", with_parts("scope", """
 SELECT run_id, scenario, seq AS stage_sequence, sum(cost) OVER (PARTITION BY run_id, scenario ORDER BY seq) AS cumulative_cost_usd
 FROM scope CROSS JOIN (VALUES ('detect_early', [15000, 25000, 30000, 40000, 350000, 420000]), ('detect_late', [0, 0, 0, 250000, 1200000, 1850000]),
@@ -219,15 +238,15 @@ def table_freshness(spark, sf):
         "orders_unknown": (t("orders").filter(F.col("o_orderstatus") == "?"), "o_orderdate")}))
 
 
-@query("table_row_counts", with_parts("alerts weekly lotrates finds trace hist", """
+@query("table_row_counts", with_parts("alerts weekly lotrates finds trace histall", """
 SELECT 'defect_alerts' AS table_name, count(*) AS row_count FROM alerts UNION ALL SELECT 'weekly_defect_trend', count(*) FROM weekly
 UNION ALL SELECT 'lot_defect_rates', count(*) FROM lotrates UNION ALL SELECT 'rca_findings', count(*) FROM finds
-UNION ALL SELECT 'lot_defect_traceability', count(*) FROM trace UNION ALL SELECT 'supplier_defect_history', count(*) FROM hist"""))
+UNION ALL SELECT 'lot_defect_traceability', count(*) FROM trace UNION ALL SELECT 'supplier_defect_history', count(*) FROM histall"""))
 def table_row_counts(spark, sf):
     return present(reports.row_counts({
         "defect_alerts": D.alerts(spark, sf), "weekly_defect_trend": D.weekly(spark, sf),
         "lot_defect_rates": D.lot_rates(spark, sf), "rca_findings": D.findings(spark, sf),
-        "lot_defect_traceability": D.traceability(spark, sf), "supplier_defect_history": D.history(spark, sf)}))
+        "lot_defect_traceability": D.traceability(spark, sf), "supplier_defect_history": D.history(spark, sf, before=None)}))
 
 
 @query("risk_extract", with_parts("risk", """
@@ -254,3 +273,29 @@ SELECT lot_id, supplier_id, material_type, strftime(entered_production_date, '%Y
        round(rca_top_confidence, 3) AS rca_top_confidence, rca_status FROM trace"""))
 def traceability_extract(spark, sf):
     return present(export.traceability_extract(D.traceability(spark, sf)))
+
+
+@query("refresh_record", with_parts("alerts lotrates", """
+SELECT 'run-1' AS run_id, '2024-02-01 00:00:00' AS last_export, (SELECT count(*) FROM alerts) AS alert_rows, (SELECT count(*) FROM lotrates) AS lot_rows"""))
+def refresh_record(spark, sf):
+    """Two tables exported as CSV with the record of the export, read back."""
+    folder = scratch_path(spark, "extracts")
+    export.export_all({"alerts": D.alerts(spark, sf), "lots": D.lot_rates(spark, sf)}, folder, D.RUN_ID, "2024-02-01 00:00:00", spark)
+    count = lambda name: spark.read.option("header", True).csv(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n"))
+    record = spark.read.schema("last_export TIMESTAMP, run_id STRING").json(f"{folder}/_refresh")
+    return present(record.join(count("alerts").withColumnRenamed("n", "alert_rows")).join(count("lots").withColumnRenamed("n", "lot_rows")))
+
+
+@query("registered_alerts", with_parts("alerts", """
+SELECT batch_id, supplier_id, observed_defect_rate, units_flagged, anomaly_score, alert_status, fail_inspections, material_lot,
+       CAST(production_date AS VARCHAR) AS production_date, '2024-02-01 00:00:00' AS created_at, 'run-1' AS run_id,
+       'batch_id,supplier_id,line_id,observed_defect_rate,units_flagged,anomaly_score,alert_status,supplier_risk_tier,defect_types,'
+       || 'fail_inspections,material_lot,production_date,reasoning_chain,created_at,run_id' AS columns FROM alerts"""))
+def registered_alerts(spark, sf):
+    """Alerts written under the catalogue's schema; figures outside it are not stored."""
+    path = scratch_path(spark, "registered")
+    tables.write_run(tables.conform(D.alerts(spark, sf), registered("defect_alerts")), path, D.RUN_ID, "2024-02-01 00:00:00")
+    rows = tables.read_table(spark, path)
+    return present(rows.withColumn("columns", F.lit(",".join(rows.columns))), "batch_id", "supplier_id", "observed_defect_rate",
+                   "units_flagged", "anomaly_score", "alert_status", "fail_inspections", "material_lot", "production_date",
+                   "created_at", "run_id", "columns")

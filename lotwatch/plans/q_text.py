@@ -123,7 +123,30 @@ def briefings(spark, sf):
                    "units_flagged", "flagged_batches")
 
 
-@query("briefing_audit")
+part("bclaims", "brief", f"""
+SELECT run_id, position, claim, TRY_CAST(regexp_extract(replace(claim, ',', ''), '[\\d.]+') AS DOUBLE) AS num, trusted
+FROM (SELECT run_id, trusted, unnest(claims) AS claim, generate_subscripts(claims, 1) AS position FROM (
+  SELECT run_id, regexp_extract_all(draft_text, '{PATTERN}', 1) AS claims, [total_units_flagged::DOUBLE, flagged_batches, affected_suppliers,
+    round(conf * 100, 1), mean_total_cost_usd, mean_timeline_days, mean_returns_volume] AS trusted FROM brief))""")
+part("bjudged", "bclaims", """
+SELECT *, coalesce(len(list_filter(trusted, lambda v: v <> 0 AND abs(num - v) / greatest(abs(v), 1) <= 0.05)) > 0, FALSE) AS ok FROM bclaims""")
+part("baudit", "brief bjudged", """
+SELECT run_id, CASE WHEN total_units_flagged >= 5000 THEN 'unit_threshold' ELSE 'rate_threshold' END AS trigger_reason,
+  CASE WHEN conf >= 0.65 THEN 'COMPLETE' ELSE 'INSUFFICIENT_EVIDENCE' END AS rca_status, scenario_name, verified, unverified,
+  list_reduce(unverified, lambda acc, c: CASE WHEN instr(acc, c) > 0 THEN substr(acc, 1, instr(acc, c) + length(c) - 1)
+    || ' [⚠ UNVERIFIED]' || substr(acc, instr(acc, c) + length(c)) ELSE acc END, draft_text)
+  || CASE WHEN len(unverified) > 0 THEN chr(10) || chr(10) || '[Please check these figures before sharing: ' || array_to_string(unverified, ', ') || '.]' ELSE '' END
+  AS briefing_text
+FROM brief LEFT JOIN (
+  SELECT run_id, coalesce(list(claim ORDER BY position) FILTER (ok), []) AS verified,
+    coalesce(list(claim ORDER BY position) FILTER (NOT ok), []) AS unverified FROM bjudged GROUP BY 1) USING (run_id)""")
+part("bshown", "baudit", """
+SELECT *, len(string_split_regex(trim(briefing_text), '\\s+')) AS word_count FROM baudit""")
+
+
+@query("briefing_audit", with_parts("bshown", """
+SELECT run_id, briefing_text, word_count, array_to_string(verified, ',') AS verified_claims, array_to_string(unverified, ',') AS unverified_claims,
+  len(unverified) = 0 AS all_claims_verified, rca_status, trigger_reason FROM bshown"""))
 def briefing_audit(spark, sf):
     return present(_briefings(spark, sf), "run_id", "briefing_text", "word_count", "verified_claims",
                    "unverified_claims", "all_claims_verified", "rca_status", "trigger_reason")
@@ -134,13 +157,13 @@ def latest_briefing(spark, sf):
     return reports.latest_row(_briefings(spark, sf).select("run_id", "recommended_scenario"), ["run_id"])
 
 
-@query("operations_summary", with_parts("alerts brief", """
-SELECT a.*, b.scenario_name AS recommended_scenario FROM (
+@query("operations_summary", with_parts("alerts bshown", """
+SELECT a.*, b.scenario_name AS recommended_scenario, word_count, len(unverified) = 0 AS all_claims_verified, len(unverified) AS unverified_claim_count,
+  CASE WHEN len(unverified) = 0 THEN 'green' WHEN len(unverified) <= 2 THEN 'amber' WHEN len(unverified) > 2 THEN 'red' END AS kpi_colour FROM (
   SELECT strftime(production_date, '%Y') AS run_id, count(*) AS batches_scanned, count(DISTINCT batch_id) FILTER (alert_status = 'FLAGGED') AS flagged,
-         count(DISTINCT batch_id) FILTER (alert_status = 'REVIEW') AS borderline FROM alerts GROUP BY 1) a LEFT JOIN brief b USING (run_id)"""))
+         count(DISTINCT batch_id) FILTER (alert_status = 'REVIEW') AS borderline FROM alerts GROUP BY 1) a LEFT JOIN bshown b USING (run_id)"""))
 def operations_summary(spark, sf):
-    rows = reports.operations_summary(_yearly(D.alerts(spark, sf)), _briefings(spark, sf))
-    return present(rows, "run_id", "batches_scanned", "flagged", "borderline", "recommended_scenario")
+    return present(reports.operations_summary(_yearly(D.alerts(spark, sf)), _briefings(spark, sf)))
 
 
 @query("claim_kpi_colours", with_parts("judged texts", """

@@ -216,3 +216,20 @@ SELECT *, round(cumulative_cost_usd * (1 - 0.08::DOUBLE), 0) AS p10_cumulative_u
              OVER (PARTITION BY run_id, stage_sequence), 0) - cumulative_cost_usd, 0) AS savings_vs_reference
 FROM (SELECT *, sum(stage_cost_usd) OVER (PARTITION BY run_id, scenario ORDER BY stage_sequence
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_cost_usd FROM costs)""")
+
+# One line of name=value for what a status rests on; rounded as decimals, so no noise tips a digit.
+_STEADY = "round(CAST({} AS DECIMAL(24, 12)), {})::DOUBLE"
+_NEAR = "z >= 1.8 AND z < threshold"
+part("reasons", "scored", f"""
+SELECT batch_id, concat_ws('; ', 'basis=' || CASE WHEN mean_rate IS NULL THEN 'no baseline' WHEN z >= threshold THEN 'score'
+    WHEN {_NEAR} AND alert_status = 'FLAGGED' THEN 'lot' WHEN {_NEAR} THEN 'lot not raised' ELSE 'within range' END,
+  'tier=' || risk_tier, printf('z=%.1f', {_STEADY.format("z", 1)}), printf('cut=%.3f', {_STEADY.format("threshold", 3)}),
+  printf('rate=%.4f', {_STEADY.format("observed_defect_rate", 4)}), printf('mean=%.4f', {_STEADY.format("mean_rate", 4)}),
+  printf('sd=%.4f', {_STEADY.format("std_rate", 4)}),
+  CASE WHEN {_NEAR} THEN printf('lot_rate=%.4f', {_STEADY.format("lot_rate", 4)}) END) AS reasoning FROM scored""")
+part("histall", "insp", """
+SELECT supplier_id, line_id, CAST(date_trunc('month', inspection_date) AS DATE) AS month,
+       CAST(sum(units_inspected) AS BIGINT) AS units_inspected,
+       avg(CAST(defect_count AS DOUBLE) / units_inspected) AS defect_rate,
+       CAST(sum(defect_count) AS BIGINT) AS defects_found
+FROM insp GROUP BY 1, 2, 3""")

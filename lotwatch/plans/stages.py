@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,6 +117,7 @@ class Gold:
     roi_curves: DataFrame
     escalations: DataFrame
     briefings: DataFrame
+    states: dict[str, tuple[DataFrame, Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -147,6 +148,7 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
         detection.lot_sizes(dim_batch), trends.production_conditions(dim_batch, inspections),
         rates, params.rootcause)
     findings = staged(rootcause.findings(bundle, params.rootcause), "findings")
+    weekly = trends.weekly_state(inspections, dim_batch)
     run = F.lit(run_id).alias("run_id")
     scope = briefing.defect_scope(alerts).select(run, "*")
     profile = scope.select("run_id", F.col("total_units_flagged").alias("total_units")).join(
@@ -161,7 +163,7 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
     chosen = projections.filter("is_recommended")
     return Gold(
         alerts=alerts,
-        weekly_trend=trends.weekly_trend(inspections, params.detection.rate_threshold, dim_batch),
+        weekly_trend=trends.finish_weekly(weekly, params.detection.rate_threshold),
         lot_rates=rates,
         findings=findings,
         traceability=rootcause.lot_traceability(findings, rates, lot_meta),
@@ -169,16 +171,32 @@ def build_gold(inspections: DataFrame, dim_batch: DataFrame, history: DataFrame,
         roi_curves=scenarios.roi_curves(stage_costs, params.scenario),
         escalations=rootcause.escalations(alerts, findings, params.rootcause, run_id, at),
         briefings=briefing.briefings(scope, rca, top, chosen, params.summary),
+        states={
+            "weekly_defect_trend": (weekly, lambda s: trends.finish_weekly(s, params.detection.rate_threshold)),
+            "lot_defect_rates": (trends.lot_state(batches), lambda s: trends.finish_lots(s, params.detection.rate_threshold)),
+        },
     )
 
 
 def write_gold(gold: Gold, root: str, run_id: str, at: Column | str) -> None:
-    """Store a run; repeating it leaves identical tables."""
+    """Store a run; repeating it leaves identical tables.
+
+    Weekly trend and lot rates cover the rows of all runs: a run stores the sums of its own
+    rows, and the tables are put together from the runs' sums, not from their inspections.
+    """
     for name, df in gold.tables().items():
-        lean = conform(df, registered(name))
-        # Trend and lot rates cover all runs' rows, so a run replaces them whole.
-        mode = "overwrite" if name in ("weekly_defect_trend", "lot_defect_rates") else "append"
-        write_run(lean, f"{root}/gold/{name}", run_id, at, mode=mode)
+        if name in gold.states:
+            state, finish = gold.states[name]
+            df = finish(add_state(state, f"{root}/gold/state/{name}", run_id, at))
+            write_run(conform(df, registered(name)), f"{root}/gold/{name}", run_id, at, mode="overwrite")
+        else:
+            write_run(conform(df, registered(name)), f"{root}/gold/{name}", run_id, at)
+
+
+def add_state(state: DataFrame, path: str, run_id: str, at: Column | str) -> DataFrame:
+    """Store the sums of one run's rows beside those of the other runs, and read them all."""
+    write_run(state, path, run_id, at)
+    return state.sparkSession.read.parquet(path)
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:

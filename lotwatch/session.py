@@ -85,6 +85,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 _TABLES: dict[tuple[str, str, str], str] = {}
 
 
+def landed(spark: SparkSession, scope: str, name: str, write) -> str:
+    """Folder that ``write(path)`` fills once per application."""
+    key = (spark.sparkContext.applicationId, scope, f"folder {name}")
+    if key not in _TABLES:
+        path = scratch_path(spark, name)
+        write(path)
+        _TABLES[key] = path
+    return _TABLES[key]
+
+
 def stored(spark: SparkSession, scope: str, name: str, build) -> DataFrame:
     """Write ``build()`` once per application to the shared folder and read it back."""
     key = (spark.sparkContext.applicationId, scope, name)

@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwatch.session import scratch_path
+from lotwatch.session import landed
 from lotwatch.sources.testdata import table
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
 QC_COLUMNS = ["inspection_id", "batch_id", "supplier_id", "line_id", "inspection_date",
               "inspector_id", "units_inspected", "defect_count", "defect_type", "pass_fail"]
 
@@ -57,16 +55,6 @@ SELECT * EXCLUDE (units_inspected, defect_count), units_inspected AS raw_units,
 FROM qc"""
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Folder of a landing drop, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        path = scratch_path(spark, f"landing-{name}")
-        write(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
-
-
 def qc_folder(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         (qc_rows(spark, sf_dir).write.option("header", True)

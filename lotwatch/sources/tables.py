@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,26 @@ def write_run(df: DataFrame, path: str, run_id: str, at: Column | str,
     )
 
 
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str], row_group_bytes: int = 16 << 20) -> None:
+    """Write a table in ranges of ``columns``, sorted within each file.
+
+    The footers' minima and maxima of those columns then tell a lookup by them apart from nearly
+    all row groups, which are not read. Ranges are of about equal size whatever a value's share.
+    """
+    (
+        df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+        .write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
+    )
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a table in ``buckets`` hash buckets of its keys, sorted, and read it from the
+    catalogue: aggregates and joins on the keys then need no shuffle of the stored side."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def read_table(spark: SparkSession, path: str, filter_expr: str | Column | None = None) -> DataFrame:
     """A stored table, of the newest version where it keeps versions."""
     version = versions.newest(spark, path)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from lotwatch.operators import detection, reports, rootcause, trends
 from lotwatch.params import DetectionParams, RiskParams, RootCauseParams
-from lotwatch.session import stored
+from lotwatch.session import landed, stored
+from lotwatch.sources.tables import write_clustered
 
 CUTOVER = "1998-01-01"
 LINES = tuple(f"L{i}" for i in range(1, 8))
@@ -81,6 +82,14 @@ def as_inspections(lines: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     )
 
 
+def clustered_inspections(spark: SparkSession, sf_dir: str, by: str = "inspection_date") -> DataFrame:
+    """Stored inspections in ranges of a column that they are looked up by."""
+    def write(path: str) -> None:
+        write_clustered(inspections(spark, sf_dir), path, [by])
+
+    return spark.read.parquet(landed(spark, sf_dir, f"inspections-by-{by}", write))
+
+
 def watched(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFrame:
     return inspections(spark, sf_dir, since=CUTOVER, with_type=with_type)
 
@@ -93,8 +102,9 @@ def dim_batch(spark: SparkSession, sf_dir: str, since: str | None = CUTOVER) ->
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inspections(spark, sf_dir, before=CUTOVER)
+def history(spark: SparkSession, sf_dir: str, before: str | None = CUTOVER) -> DataFrame:
+    """Monthly rates, by default those before the watch began, against which it is scored."""
+    rows = inspections(spark, sf_dir, before=before)
     return rows.groupBy(
         "supplier_id", "line_id", F.trunc("inspection_date", "month").alias("month")
     ).agg(
@@ -225,7 +235,7 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def production_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.production_conditions(dim_batch(spark, sf_dir, since=None), inspections(spark, sf_dir))
+    return trends.line_months(inspections(spark, sf_dir))
 
 
 def lot_rates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -21,6 +23,10 @@ from lotwatch.sources.landing import LISTING, read_csv
 from lotwatch.sources.tables import with_lineage
 
 
+# Workers get the state's class by value, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def landing_stream(spark: SparkSession, folder: str, glob: str = "*.csv", files_per_trigger: int | None = None) -> DataFrame:
     """Paths of new landing files; no file is opened, ``ingest`` reads each by its own header."""
     reader = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", glob)

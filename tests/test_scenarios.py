@@ -63,3 +63,14 @@ def test_approximate_summary_is_close(spark):
     exact = scenarios.quantile_summary(df, ["g"], "v").first()
     near = scenarios.quantile_summary(df, ["g"], "v", approximate=True).first()
     assert exact.p50 == 499.5 and abs(near.p50 - exact.p50) <= 1
+
+
+def test_quantiles_of_a_cost_that_falls_with_the_rate(spark):
+    """An override may make returns pay: the low end of the cost is then that of the high rates."""
+    over = spark.createDataFrame([("r", "do_nothing", -0.5)], "run_id string, name string, brand_factor double")
+    rates = [0.0, 0.1, 0.2, 0.5, 1.0]
+    row = next(r for r in scenarios.projections(profile(spark, rates), P, over).collect() if r.scenario_name == "do_nothing")
+    costs = [1000 * r * 85.0 * -0.5 for r in rates]
+    assert row.p10_total_cost_usd == pytest.approx(np.percentile(costs, 10), abs=0.02)
+    assert row.p90_total_cost_usd == pytest.approx(np.percentile(costs, 90), abs=0.02)
+    assert row.p10_total_cost_usd < row.p50_total_cost_usd < row.p90_total_cost_usd

@@ -1,3 +1,7 @@
+import re
+import time
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +72,31 @@ def test_disclosure_only_when_inconclusive(spark):
     df = spark.createDataFrame([("INSUFFICIENT_EVIDENCE", 0.4), ("COMPLETE", 0.8)], "s string, c double")
     got = [r[0] for r in df.select(briefing.disclosure(F.col("s"), F.col("c"))).collect()]
     assert "40%" in got[0] and got[1] is None
+
+
+def marked_one_by_one(text, claims):
+    """Each claim marked in the text that the ones before it left."""
+    for c in claims:
+        at = text.find(c)
+        if at >= 0:
+            text = text[:at + len(c)] + T.UNVERIFIED_MARK + text[at + len(c):]
+    return text
+
+
+def test_one_pass_marks_as_one_by_one():
+    rng = np.random.default_rng(8)
+    for _ in range(400):
+        text = "".join(rng.choice(list("1234 ,.%é") + [" units", " days"], rng.integers(0, 60)))
+        claims = re.findall(T.CLAIM_PATTERN, text)
+        claims = [c for c in claims if rng.random() < 0.7] + list(rng.choice(["12", "1 days", "3", "999"], 2))
+        assert T.marked_text(text, claims) == marked_one_by_one(text, claims)
+    assert T.marked_text(None, ["1"]) is None and T.marked_text("a 1", None) == "a 1" and T.marked_text("a 1", []) == "a 1"
+
+
+def test_marks_of_a_long_text_take_one_pass():
+    text = " ".join(f"{'x' * 980} {i} units" for i in range(10_000))
+    claims = [f"{i} units" for i in range(10_000)]
+    began = time.process_time()
+    got = T.marked_text(text, claims)
+    assert len(text) > 9_800_000 and time.process_time() - began < 10
+    assert got.count(T.UNVERIFIED_MARK) == 10_000 and got.replace(T.UNVERIFIED_MARK, "") == text
