@@ -20,4 +20,4 @@ def test_query(spark, con: duckdb.DuckDBPyConnection, sf, name):
 
 def test_sql_belongs_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert sorted(set(QUERIES) - set(ORACLES)) == ["alerts_with_outliers", "briefing_audit", "outlier_screen"]
+    assert sorted(set(QUERIES) - set(ORACLES)) == ["alerts_with_outliers", "outlier_screen"]
