@@ -113,20 +113,26 @@ class _LotMean(StatefulProcessor):
             yield arrived.assign(lot_rate=rate)
             return
         at = arrived[self.time].map(lambda t: int(t.timestamp() * 1000))
-        n, total, last = self.seen.get() if self.seen.exists() else (0, 0.0, int(at.iloc[0]))
+        known = self.seen.get()
+        n, total, last = known or (0, 0.0, int(at.iloc[0]))
         # After a pause the count starts anew, whether or not the timer has fired by now.
         pause = at.diff().fillna(at.iloc[0] - last) > self.idle_ms
         spell = pause.cumsum()
         counts = rate.notna().groupby(spell).cumsum() + n * (spell == 0)
         running = rate.fillna(0.0).groupby(spell).cumsum() + total * (spell == 0)
         self.seen.update((int(counts.iloc[-1]), float(running.iloc[-1]), int(at.iloc[-1])))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(at.iloc[-1]) + self.idle_ms)
+        if known is None:  # one timer per lot; it is put off when it fires too early
+            self.handle.registerTimer(int(at.iloc[-1]) + self.idle_ms)
         yield arrived.assign(lot_rate=running / counts.where(counts > 0))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        known = self.seen.get()
+        if known is not None:
+            due = known[2] + self.idle_ms
+            if due > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)
+            else:
+                self.seen.clear()
         yield from ()
 
     def close(self) -> None:
