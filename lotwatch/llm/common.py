@@ -74,6 +74,14 @@ class Written:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as make it differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 #: Bits of a table of marks.
 MARKS = 1 << 25
 
@@ -103,12 +111,13 @@ def apart(docs: DataFrame, key: str, keys: DataFrame, text: str = "text") -> tup
     """``docs`` in two: rows whose key is not in ``keys``, and the rest, which holds all rows
     whose key is and perhaps a few others. Neither shuffles; only the rest needs exact joins."""
     table = marks(keys.select(F.xxhash64(F.col(keys.columns[0])).alias("mark")))
-    rows = docs.withColumn("_mark", F.xxhash64(F.col(key)))
+    mark = fresh_name(docs, "_mark")
+    rows = docs.withColumn(mark, F.xxhash64(F.col(key)))
 
     def part(wanted: bool) -> DataFrame:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array(marked(table, batch.column("_mark").to_numpy()) == wanted))
+            return batch.filter(pa.array(marked(table, batch.column(mark).to_numpy()) == wanted))
 
-        return map_slices(rows, run, rows.schema, text).drop("_mark")
+        return map_slices(rows, run, rows.schema, text).drop(mark)
 
     return part(False), part(True)

@@ -50,7 +50,7 @@ ROUNDS, LEADERS = 3, 4
 
 
 def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callable[[DataFrame], DataFrame],
-            here: str = "true") -> DataFrame:
+            here: str = "true", written: list[Written] | None = None) -> DataFrame:
     """Components of the nodes that share a bucket and link.
 
     ``members`` is a written table as of ``bucketed``, ``named`` one of nodes and columns that
@@ -63,8 +63,14 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
     remain, their nodes meet a few other leaders, chosen by hash, for some rounds. Nodes of a
     bucket that are then still in different groups are compared pairwise. So a bucket of near
     copies costs a few comparisons per member, and every link between what would be different
-    groups is found.
+    groups is found. The tables written on the way are added to ``written``, for the caller to drop.
     """
+    written = [] if written is None else written
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        written.append(Written(df, name))
+        return written[-1].df
+
     spot = [c for c in members.columns if c == "pos"]
     side = lambda df, x: df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns if c != "key"],
                                    *[c for c in df.columns if c == "key"])
@@ -75,8 +81,8 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
         return pairs.join(side(named, "a"), "a").join(side(named, "b"), "b").where(likely).select("a", "b")
 
     leaders = members.select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
-    tried = Written(meeting(leaders), "stars").df
-    links = Written(verified(tried), "links").df
+    tried = kept(meeting(leaders), "stars")
+    links = kept(verified(tried), "links")
     group = connected(links)
     before = float("inf")
     for turn in range(ROUNDS + 1):
@@ -85,7 +91,7 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
         busy = busy.join(found, busy["node"] == found["other"], "left").select(
             "key", "node", *spot, F.coalesce("component", "node").alias("group")).distinct()
         mixed = busy.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("key")
-        rest = Written(busy.join(mixed, "key", "left_semi"), "rest").df
+        rest = kept(busy.join(mixed, "key", "left_semi"), "rest")
         share = rest.groupBy("key", "group").count().groupBy("key").agg(
             F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("inside"))
         rows, pairs_left = share.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")).cast("double") / 2)).first()
@@ -95,15 +101,15 @@ def grouped(members: DataFrame, named: DataFrame, likely: str, verified: Callabl
         last = turn == ROUNDS or pairs_left <= 4 * LEADERS * rows or pairs_left > before / 2
         before = pairs_left
         if last:
-            full = Written(rest.join(named, "node"), "rest").df
+            full = kept(rest.join(named, "node"), "rest")
             pairs = side(full, "a").join(side(full, "b"), "key").where(f"a < b and a_group != b_group and {likely} and {here}")
             pairs = pairs.select("a", "b").distinct()
         else:
             order = [F.xxhash64("node", F.lit(turn * LEADERS + k), F.pmod("key", F.lit(2))) for k in range(LEADERS)]
             chosen = rest.groupBy("key").agg(F.array(*[F.min_by("node", o) for o in order]).alias("leaders"))
             pairs = meeting(rest.join(chosen, "key").select(F.col("node").alias("a"), F.explode("leaders").alias("b")))
-        pairs = Written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs").df
-        links = links.unionByName(Written(verified(pairs), "links").df)
+        pairs = kept(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(kept(verified(pairs), "links"))
         tried = tried.unionByName(pairs)
         group = connected(links)
         if last:

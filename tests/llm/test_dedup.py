@@ -173,8 +173,6 @@ def distance(a, b):
 
 def repeated(docs, params):
     """Numbers of removed lines by document, all pairs of lines compared."""
-    import pyarrow as pa
-
     seen = {}
     for key, text in docs:
         for number, line in enumerate((text or "").split("\n")):
@@ -182,20 +180,8 @@ def repeated(docs, params):
             if len(plain) >= params.shortest:
                 seen.setdefault(plain, []).append((key, number))
     plain = list(seen)
-    found = {p: lines.lines_of(pa.array([p]), 0) for p in plain}
-    sim, anchor = ({p: int(getattr(f, name)[0]) for p, f in found.items()} for name in ("sim", "anchor"))
-    bits = 64 // params.blocks
-
-    def meet(a, b):
-        """Pairs that are compared: all with a short line, long ones by longest word and block."""
-        if min(len(a), len(b)) <= params.exact:
-            return 10 * abs(len(a) - len(b)) <= max(len(a), len(b))
-        differ = sim[a] ^ sim[b]
-        return anchor[a] == anchor[b] and differ.bit_count() <= params.bits and any(
-            not differ >> bits * k & (1 << bits) - 1 for k in range(params.blocks))
-
-    links = [(a, b) for a, b in itertools.combinations(plain, 2) if meet(a, b)
-             and 100 * distance(a, b) <= (100 - params.percent) * max(len(a), len(b))]
+    links = [(a, b) for a, b in itertools.combinations(plain, 2)
+             if 10 * abs(len(a) - len(b)) <= max(len(a), len(b)) and 100 * distance(a, b) <= (100 - params.percent) * max(len(a), len(b))]
     root, groups = reachable(plain, links), {}
     for p in plain:
         groups.setdefault(root[p], []).extend(seen[p])
@@ -234,21 +220,6 @@ def test_line_dedup(corpus, by_id, nulls):
     assert lines.drop_repeated_lines(same.union(same)).where("_removed > 0").count() == 0
 
 
-def test_simhash_blocks_meet_within_their_distance(spark):
-    rng = np.random.default_rng(7)
-    rows = []
-    for i in range(200):
-        sim = int(rng.integers(0, 1 << 63))
-        other = sim
-        for bit in rng.choice(64, 7, replace=False):
-            other ^= 1 << int(bit)
-        rows += [(2 * i, sim - (1 << 62), i), (2 * i + 1, (other & (1 << 64) - 1) - (1 << 62), i)]
-    rows = [(n, (s + (1 << 62) + (1 << 63)) % (1 << 64) - (1 << 63), a) for n, s, a in rows]
-    classes = spark.createDataFrame(rows, "node long, sim long, anchor long").withColumn("n", F.lit(1))
-    shared = components.bucketed(lines.postings(classes, 8))
-    assert {r.node for r in shared.collect()} == set(range(400))
-
-
 def test_distance_within():
     rng = np.random.default_rng(11)
     for _ in range(500):
