@@ -49,7 +49,7 @@ def blocks(words: np.ndarray, size: int) -> np.ndarray:
 class Patterns:
     """All windows of one length, with their shift table and suffix buckets."""
 
-    def __init__(self, windows: dict[bytes, set[str]], hashes: dict[bytes, np.ndarray], length: int) -> None:
+    def __init__(self, windows: dict[bytes, set[str | None]], hashes: dict[bytes, np.ndarray], length: int) -> None:
         self.length, self.block = length, min(2, length)
         self.texts = sorted(windows)
         self.items = [sorted(windows[t]) for t in self.texts]
@@ -85,8 +85,8 @@ class Patterns:
 
 
 class Searcher:
-    def __init__(self, items: list[tuple[str, str]], window: int) -> None:
-        windows: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
+    def __init__(self, items: list[tuple[str | None, str]], window: int) -> None:
+        windows: dict[int, dict[bytes, set[str | None]]] = defaultdict(lambda: defaultdict(set))
         hashes: dict[bytes, np.ndarray] = {}
         for item, text in items:
             data, starts, ends, _ = word_spans(pa.array([text]))
@@ -101,7 +101,7 @@ class Searcher:
                 hashes[key] = words[i:i + length]
         self.patterns = [Patterns(w, hashes, n) for n, w in sorted(windows.items())]
 
-    def search(self, column: pa.Array) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str]]]:
+    def search(self, column: pa.Array) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str | None]]]:
         """Words of each text, its hit word ranges (merged, in order), and the items found."""
         data, starts, ends, row = word_spans(column)
         n = len(column)
@@ -110,7 +110,7 @@ class Searcher:
         after = np.cumsum(count)
         first = after - count
         spans: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        items: list[set[str]] = [set() for _ in range(n)]
+        items: list[set[str | None]] = [set() for _ in range(n)]
         for patterns in self.patterns:
             length = patterns.length
             for end, k in zip(*map(np.ndarray.tolist, patterns.ends(words, first, after))):
@@ -136,7 +136,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def searchers(items: DataFrame, params: SearchParams, key: str, text: str) -> list[Searcher]:
     """One searcher per block of items; a block has about ``block_bytes`` of text."""
     items = items.select(items[key].cast("string").alias("key"), items[text].alias("text")).where(
-        "key is not null and text is not null")
+        "text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // params.block_bytes) or 1
     part = F.pmod(F.xxhash64("key", "text"), F.lit(n))
@@ -151,8 +151,8 @@ def find_passages(docs: DataFrame, items: DataFrame, params: SearchParams = Sear
 
     Returns ``key``, ``n_words``, ``spans`` (hit word ranges, merged) and ``items`` (sorted ids of
     items with occurring windows) for every row. Null and empty texts have no words and no hits.
-    Items with a null id or text, or without a word, have no windows; items with the same window
-    are all reported. Other columns of either table are ignored. The benchmark is searched for in
+    Items with a null text or without a word have no windows; items with the same window are all
+    reported, those without an id together as one null, last in ``items``. Other columns of either table are ignored. The benchmark is searched for in
     blocks of bounded size, one narrow pass after the other; documents are never shuffled.
     """
     kind = docs.select(key).schema[key].dataType.simpleString()
@@ -169,7 +169,7 @@ def find_passages(docs: DataFrame, items: DataFrame, params: SearchParams = Sear
             return pa.RecordBatch.from_arrays([
                 batch.column("_key"), batch.column("_text"), pa.array(count, pa.int64()),
                 pa.array([[{"first": a, "after": b} for a, b in s] for s in spans], spans_type),
-                pa.array([sorted(new.union(old)) for new, old in zip(ids, batch.column("_items").to_pylist())],
+                pa.array([sorted(new.union(old), key=lambda x: (x is None, x)) for new, old in zip(ids, batch.column("_items").to_pylist())],
                          pa.list_(pa.string()))], ["_key", "_text", "_words", "_spans", "_items"])
 
         out = map_slices(out, run, schema, "_text")
