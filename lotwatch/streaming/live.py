@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from lotwatch.operators import detection
 from lotwatch.params import DetectionParams
@@ -97,42 +97,68 @@ def weekly_trend(stream: DataFrame, time: str, delay: str, threshold: float) ->
 
 
 class _LotMean(StatefulProcessor):
-    """Number and sum of the rates that have arrived on a lot since its last pause."""
+    """Number and sum of the rates that have arrived on each lot of a bucket since its last pause.
 
-    def __init__(self, rate: str, time: str, order: Sequence[str], idle_ms: int) -> None:
-        self.rate, self.time, self.order, self.idle_ms = rate, time, list(order), idle_ms
+    A bucket's lots are taken together, as columns: lots are many and small, and a call, a state
+    and a timer for each of them would cost far more than its few rows.
+    """
+
+    def __init__(self, lot: str, rate: str, time: str, order: Sequence[str], idle_ms: int, state: StructType, shown: Sequence[str]) -> None:
+        self.lot, self.rate, self.time, self.order, self.idle_ms = lot, rate, time, list(order), idle_ms
+        self.state, self.shown = state, list(shown)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "n bigint, total double, last bigint")
+        self.seen = handle.getValueState("seen", self.state)
+
+    def _known(self) -> tuple[pd.DataFrame, int | None]:
+        lots, n, total, last, timer = self.seen.get() or ([], [], [], [], None)
+        known = pd.DataFrame({"n": pd.Series(n, dtype="int64"), "total": pd.Series(total, dtype="float64"),
+                              "last": pd.Series(last, dtype="int64")})
+        return known.set_index(pd.Index(lots, dtype=object)), timer
+
+    def _keep(self, known: pd.DataFrame, timer: int | None) -> None:
+        """Store the bucket's lots, with a timer no later than the first of them is due."""
+        if known.empty:
+            self.seen.clear()
+            return
+        due = int(known["last"].min()) + self.idle_ms
+        if timer is None or due < timer:
+            self.handle.registerTimer(due)
+            timer = due
+        self.seen.update((known.index.tolist(), known["n"].tolist(), known["total"].tolist(), known["last"].tolist(), timer))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values([self.time, *self.order], kind="stable", ignore_index=True)
-        rate = arrived[self.rate]
-        if key[0] is None:  # no lot, so nothing to average with
-            yield arrived.assign(lot_rate=rate)
+        arrived = pd.concat(list(rows), ignore_index=True)
+        alone = arrived[self.lot].isna()  # no lot, so nothing to average with
+        if alone.any():
+            yield arrived[alone].assign(lot_rate=arrived[self.rate])[self.shown]
+            arrived = arrived[~alone]
+        if arrived.empty:
             return
-        at = arrived[self.time].map(lambda t: int(t.timestamp() * 1000))
-        known = self.seen.get()
-        n, total, last = known or (0, 0.0, int(at.iloc[0]))
+        code, lots = pd.factorize(arrived[self.lot])
+        arrived = arrived.assign(_code=code).sort_values(["_code", self.time, *self.order], kind="stable", ignore_index=True)
+        rate, code = arrived[self.rate], arrived["_code"]
+        at = arrived[self.time].astype("datetime64[ms]").astype("int64")
+        known, timer = self._known()
+        before = known.reindex(lots).reset_index(drop=True).loc[code].reset_index(drop=True)
         # After a pause the count starts anew, whether or not the timer has fired by now.
-        pause = at.diff().fillna(at.iloc[0] - last) > self.idle_ms
-        spell = pause.cumsum()
-        counts = rate.notna().groupby(spell).cumsum() + n * (spell == 0)
-        running = rate.fillna(0.0).groupby(spell).cumsum() + total * (spell == 0)
-        self.seen.update((int(counts.iloc[-1]), float(running.iloc[-1]), int(at.iloc[-1])))
-        if known is None:  # one timer per lot; it is put off when it fires too early
-            self.handle.registerTimer(int(at.iloc[-1]) + self.idle_ms)
-        yield arrived.assign(lot_rate=running / counts.where(counts > 0))
+        pause = at - at.groupby(code).shift().fillna(before["last"]) > self.idle_ms
+        spell = pause.groupby(code).cumsum()
+        first = spell == 0
+        counts = rate.notna().groupby([code, spell]).cumsum() + before["n"].fillna(0).where(first, 0)
+        running = rate.fillna(0.0).groupby([code, spell]).cumsum() + before["total"].fillna(0.0).where(first, 0.0)
+        ends = ~code.duplicated(keep="last")
+        now = pd.DataFrame({"n": counts[ends].astype("int64"), "total": running[ends], "last": at[ends]}).set_index(
+            pd.Index(lots[code[ends]], dtype=object))
+        kept = known[~known.index.isin(now.index)]
+        self._keep(pd.concat([kept, now]) if len(kept) else now, timer)
+        yield arrived.assign(lot_rate=running / counts.where(counts > 0))[self.shown]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self.seen.get()
-        if known is not None:
-            due = known[2] + self.idle_ms
-            if due > timerValues.getCurrentWatermarkInMs():
-                self.handle.registerTimer(due)
-            else:
-                self.seen.clear()
+        known, timer = self._known()
+        if timer is not None and timer <= timerValues.getCurrentWatermarkInMs():
+            self._keep(known[known["last"] + self.idle_ms > timerValues.getCurrentWatermarkInMs()], None)
         yield from ()
 
     def close(self) -> None:
@@ -140,17 +166,24 @@ class _LotMean(StatefulProcessor):
 
 
 def with_lot_rates(stream: DataFrame, time: str, delay: str, idle_days: int, lot: str = "material_lot",
-                   rate: str = "observed_defect_rate", order: Sequence[str] = ("batch_id",)) -> DataFrame:
+                   rate: str = "observed_defect_rate", order: Sequence[str] = ("batch_id",), buckets: int = 1024) -> DataFrame:
     """Arrivals with ``lot_rate``, the mean rate of their lot up to and with each of them.
 
     A lot's count and sum live in the state store, so arrivals of earlier triggers count and a
     restart goes on from them; a lot without arrivals for ``idle_days`` is forgotten. Arrivals
     of one trigger follow in the order of ``time`` and ``order``; rows without a lot keep their
-    own rate. Needs the RocksDB state store (``durable_state``).
+    own rate. Lots are grouped by hash into ``buckets``, each one state; the number belongs to the
+    checkpoint. Needs the RocksDB state store (``durable_state``).
     """
     schema = StructType([*stream.schema, StructField("lot_rate", DoubleType())])
-    return stream.withWatermark(time, delay).groupBy(lot).transformWithStateInPandas(
-        statefulProcessor=_LotMean(rate, time, order, idle_days * 86_400_000), outputStructType=schema,
+    state = StructType([
+        StructField("lots", ArrayType(stream.schema[lot].dataType)), StructField("n", ArrayType(LongType())),
+        StructField("total", ArrayType(DoubleType())), StructField("last", ArrayType(LongType())), StructField("timer", LongType())])
+    # Rows without a lot are dealt by what they are ordered by, so that they don't meet in one bucket.
+    hashed = F.when(F.col(lot).isNotNull(), F.xxhash64(lot)).otherwise(F.xxhash64(time, *order))
+    dealt = stream.withWatermark(time, delay).withColumn("_bucket", F.pmod(hashed, F.lit(buckets)))
+    return dealt.groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=_LotMean(lot, rate, time, order, idle_days * 86_400_000, state, schema.names), outputStructType=schema,
         outputMode="append", timeMode="eventTime")
 
 
