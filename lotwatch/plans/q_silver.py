@@ -55,7 +55,8 @@ SELECT inspection_id, batch_id, supplier_id, line_id, trim(qc_result) AS qc_resu
 def latest_from_buckets(spark, sf):
     """Latest row per key of a table stored in buckets of the key: no shuffle on reading."""
     tidy = silver.normalised(silver.valid_rows(feeds.raw_inspections(spark, sf)), ["inspection_id"], ["batch_id", "supplier_id", "line_id"])
-    table = tables.write_bucketed(tidy, scratch_path(spark, "bucketed-inspections"), ["inspection_id"], BUCKETS)
+    table = tables.write_bucketed(tidy, scratch_path(spark, "bucketed-inspections"), ["inspection_id"],
+                                  tables.bucket_count(tidy, BUCKETS))
     rows = silver.newest_of(table, ["inspection_id"])
     return present(rows.select("inspection_id", "batch_id", "supplier_id", "line_id", F.trim("qc_result").alias("qc_result"),
                                F.col("ingested_at").try_cast("timestamp").alias("ingested_at")))

@@ -47,6 +47,15 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], row_group_
     )
 
 
+#: Rows of one bucket, which a task sorts.
+BUCKET_ROWS = 500_000
+
+
+def bucket_count(df: DataFrame, least: int) -> int:
+    """Buckets for a table, so that none grows with it: ``least``, or more beyond ``BUCKET_ROWS`` rows a bucket."""
+    return max(least, -(-df.count() // BUCKET_ROWS))
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Store a table in ``buckets`` hash buckets of its keys, sorted, and read it from the
     catalogue: aggregates and joins on the keys then need no shuffle of the stored side."""
