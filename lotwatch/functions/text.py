@@ -20,6 +20,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CLAIM_PATTERN = r"(?i)(\b\d[\d,]*(?:\.\d+)?(?:\s*(?:units?|batches?|%|percent|USD|\$|million|M|thousand|K|days?|weeks?)\b)?)"
 UNVERIFIED_MARK = " [⚠ UNVERIFIED]"
 
+#: Texts that a Python worker holds at a time when they are marked.
+BATCH_ROWS = 500
+
 
 def extract_claims(text: Column | str) -> Column:
     return F.regexp_extract_all(as_col(text), F.lit(CLAIM_PATTERN), 1)

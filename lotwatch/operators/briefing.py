@@ -100,8 +100,13 @@ def note_unverified(text: Column, unverified: Column) -> Column:
 def audit(rows: DataFrame, text: str, trusted: str, params: SummaryParams) -> DataFrame:
     """Check every numeric claim of a text against the trusted values on its row.
 
-    The claims are judged once, as the one element of an array that is laid out as columns.
+    The claims are judged once, as the one element of an array that is laid out as columns. Texts
+    are marked ``BATCH_ROWS`` at a time, so that a worker's memory doesn't follow Arrow's batches.
     """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(rows.sparkSession.conf.get(setting))
+    if not 0 < now <= T.BATCH_ROWS:
+        rows.sparkSession.conf.set(setting, str(T.BATCH_ROWS))
     judged = F.array(T.judged_claims(T.extract_claims(text), trusted, params.claim_tolerance))
     lists = F.transform(judged, lambda j: F.struct(
         T.claims_where(j, True).alias("verified_claims"), T.claims_where(j, False).alias("unverified_claims")))
