@@ -1,6 +1,7 @@
 """A task's share of a table does not grow with the table."""
 
-from lotwatch.session import SPLIT_BYTES, small_splits, split_bytes
+from lotwatch import session
+from lotwatch.session import SPLIT_BYTES, small_shuffles, small_splits, split_bytes
 from lotwatch.sources import landing
 from lotwatch.sources import testdata as D
 
@@ -61,3 +62,26 @@ def test_texts_are_marked_a_few_at_a_time(spark, rows):
         assert out.first().revised_text == "42 units" + T.UNVERIFIED_MARK
     finally:
         spark.conf.set(name, before)
+
+
+def test_shuffles_have_partitions_for_the_table(spark, tmp_path, monkeypatch):
+    initial, advisory = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    streams, before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(advisory)
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    try:
+        spark.conf.set(advisory, "64MB")
+        small_shuffles(spark, path)
+        assert spark.conf.get(initial, None) is None and spark.conf.get(advisory) == str(SPLIT_BYTES)
+        monkeypatch.setattr(session, "TABLE_BYTES", 100)
+        small_shuffles(spark, path)
+        many = int(spark.conf.get(initial))
+        assert many > 4 and spark.range(10).repartition("id").rdd.getNumPartitions() <= many
+        monkeypatch.setattr(session, "TABLE_BYTES", 10_000_000)
+        spark.conf.set(advisory, "1m")
+        small_shuffles(spark, path)
+        assert (int(spark.conf.get(initial)), spark.conf.get(advisory)) == (many, "1m")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == streams
+    finally:
+        spark.conf.unset(initial)
+        spark.conf.set(advisory, before)
