@@ -18,6 +18,7 @@ from lotwatch.operators import detection
 from lotwatch.params import DetectionParams
 from lotwatch.plans.stages import RunParams, assess, split
 from lotwatch.schemas import LandingFeed
+from lotwatch.session import COMPRESSION
 from lotwatch.sources import versions
 from lotwatch.sources.landing import LISTING, read_csv
 from lotwatch.sources.tables import with_lineage
@@ -59,7 +60,7 @@ def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: C
             "ingest_log": with_lineage(out.log, run_id, at, "ingested_at"),
         }
         for name, df in outputs.items():
-            df.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+            df.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}", compression=COMPRESSION)
         rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(land).option(
