@@ -30,7 +30,7 @@ def test_batches_and_lots(spark, lines):
     texts = D.inspections(spark, lines)
     carry = {"unit_count": F.sum("units_inspected"), "production_date": F.min("inspection_date")}
     batches = detection.batch_quality(texts, D.PARAMS, carry, ["material_lot"])
-    same(D.batch_quality(spark, lines, since=None), batches)
+    same(D.named(D._numbered_batches(spark, lines, False, None)), batches)
     same(D.lot_rates(spark, lines), trends.lot_rates(batches, D.PARAMS.rate_threshold))
     same(D.dim_batch(spark, lines, since=None), texts.groupBy("batch_id", "supplier_id", "line_id", "material_lot").agg(
         F.sum("units_inspected").alias("unit_count"), F.min("inspection_date").alias("production_date")))
@@ -45,7 +45,7 @@ def test_history(spark, lines):
 
 
 def test_texts_come_after_the_fold(spark, lines):
-    for df in (D.dim_batch(spark, lines), D.batch_quality(spark, lines), D.lot_meta(spark, lines), D.history(spark, lines)):
+    for df in (D.dim_batch(spark, lines), D.named(D._numbered_batches(spark, lines, False, None)), D.lot_meta(spark, lines), D.history(spark, lines)):
         steps = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
         fold = next(i for i, step in enumerate(steps) if "Aggregate [" in step)
         assert any("concat" in step for step in steps[:fold + 1])
