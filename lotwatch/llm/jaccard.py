@@ -106,6 +106,19 @@ def differing(x: bytes, y: bytes) -> int:
     return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
 
 
+#: Longs of a sketch of fixed size, by which pairs are ruled out in the join where they meet.
+SHORT = 8
+
+
+def short_sketches(value: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SHORT longs for each set: parity sketches of one size, so that SQL can count the bits that differ."""
+    bits = 64 * SHORT
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    place = row * bits + ((value >> np.uint64(21)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits * (len(at) - 1)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def packed(counts: np.ndarray) -> bytes:
     """Counts as bytes; mostly empty ones as places and counts."""
     at = np.flatnonzero(counts)
@@ -124,9 +137,9 @@ def add_packed(total: np.ndarray, data: bytes) -> None:
 
 
 def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """(_key, n, fp, sketch) per row; per task also its shingle counts by bucket as (part, counts)."""
+    """(_key, n, fp, sketch, short) per row; per task also its shingle counts by bucket as (part, counts)."""
     words, kind = params.words, docs.schema["_key"].dataType.simpleString()
-    names = ["_key", "n", "fp", "sketch", "part", "counts"]
+    names = ["_key", "n", "fp", "sketch", "short", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, key_type = np.zeros(BUCKETS, np.uint32), None
@@ -136,16 +149,18 @@ def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
             m, key_type = piece.num_rows, piece.column("_key").type
             yield pa.RecordBatch.from_arrays([
                 piece.column("_key"), pa.array(np.diff(at), pa.int64()), pa.array(fp),
-                pa.array(parity_sketches(value, at), pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+                pa.array(parity_sketches(value, at), pa.binary()),
+                pa.ListArray.from_arrays(pa.array(SHORT * np.arange(m + 1), pa.int32()), pa.array(short_sketches(value, at))),
+                pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if key_type is not None and total.any():
             rows = [(p, packed(c)) for p, c in enumerate(total.reshape(PARTS, -1)) if c.any()]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
-                pa.nulls(len(rows), pa.binary()),
+                pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.list_(pa.int64())),
                 pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names)
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, sketch binary, part int, counts binary")
+    return docs.mapInArrow(run, f"_key {kind}, n long, fp long, sketch binary, short array<long>, part int, counts binary")
 
 
 def frequency_levels(tables: DataFrame) -> np.ndarray:
@@ -283,11 +298,13 @@ def linked_groups(docs: DataFrame, params: JaccardParams = JaccardParams(), text
         elements = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("fp")), params)
         return verified(pairs, elements, params.percent)
 
-    near = f"100 * least(a_n, b_n) >= {params.percent} * greatest(a_n, b_n)"
+    differ = " + ".join(f"bit_count(a_short[{i}] ^ b_short[{i}])" for i in range(SHORT))
+    near = (f"100 * least(a_n, b_n) >= {params.percent} * greatest(a_n, b_n)"
+            f" and {100 + params.percent} * ({differ}) <= {100 - params.percent} * (a_n + b_n)")
     # The first element that linked sets share leaves both enough elements to share with it.
     enough = f"{params.percent} * (a_n + b_n)"
     first = " and ".join(f"{100 + params.percent} * ({x}_n - {x}_pos) >= {enough}" for x in "ab")
-    classes = ids.where("n > 0").select(F.col("fp").alias("node"), "n").distinct()
+    classes = described.df.where("n > 0").select(F.col("fp").alias("node"), "n", "short").dropDuplicates(["node"])
     group = grouped(members, classes, near, check, first)
 
     # The smallest key of each class, then of each group of classes.
