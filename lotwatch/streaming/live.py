@@ -18,7 +18,7 @@ from lotwatch.operators import detection
 from lotwatch.params import DetectionParams
 from lotwatch.plans.stages import RunParams, assess, split
 from lotwatch.schemas import LandingFeed
-from lotwatch.session import COMPRESSION
+from lotwatch.session import COMPRESSION, held
 from lotwatch.sources import versions
 from lotwatch.sources.landing import LISTING, read_csv
 from lotwatch.sources.tables import with_lineage
@@ -52,16 +52,15 @@ def ingest(stream: DataFrame, feed: LandingFeed, folder: str, run_id: str, at: C
         paths = sorted(r["source_path"] for r in files.distinct().collect())
         if not paths:
             return
-        rows = assess(read_csv(spark, [unquote(p) for p in paths]), feed, params).persist()
-        out = split(rows, feed, run_id, at, paths)
-        versions.merge(out.good, f"{folder}/{feed.table}", feed.key, f"{run_id}/{batch_id}", at)
-        outputs = {
-            "bad_records": with_lineage(out.bad, run_id, at, "quarantined_at"),
-            "ingest_log": with_lineage(out.log, run_id, at, "ingested_at"),
-        }
-        for name, df in outputs.items():
-            df.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}", compression=COMPRESSION)
-        rows.unpersist()
+        with held(assess(read_csv(spark, [unquote(p) for p in paths]), feed, params), "assessed") as rows:
+            out = split(rows, feed, run_id, at, paths)
+            versions.merge(out.good, f"{folder}/{feed.table}", feed.key, f"{run_id}/{batch_id}", at)
+            outputs = {
+                "bad_records": with_lineage(out.bad, run_id, at, "quarantined_at"),
+                "ingest_log": with_lineage(out.log, run_id, at, "ingested_at"),
+            }
+            for name, df in outputs.items():
+                df.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}", compression=COMPRESSION)
 
     writer = stream.writeStream.foreachBatch(land).option(
         "checkpointLocation", f"{folder}/_checkpoint")
